@@ -7,7 +7,7 @@ shuffled joins are split by AQE.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +20,15 @@ def quoted(names: Iterable[str]) -> list[str]:
     return [f"`{name}`" for name in names]
 
 
-def left_join_sparse(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_sparse(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: Sequence[str]
+) -> DataFrame:
     """Left join on a key that is often null on the left; the right key is not returned.
 
     Null keys match nothing, yet would all be shuffled to one task. They are spread by
-    a hash of the row instead, which is the same on every retry.
+    a hash of ``spread_by``, columns that tell rows apart; it is the same on every retry.
     """
-    row_hash = f"xxhash64({', '.join(quoted(left.columns))})"
+    row_hash = f"xxhash64({', '.join(quoted(spread_by))})"
     spread = F.expr(f"cast(case when {left_key} is null then pmod({row_hash}, {NULL_SPREAD}) else 0 end as int)")
     keyed = left.withColumn("__spread", spread)
     other = right.withColumnRenamed(right_key, "__match").withColumn("__at", F.lit(0))

@@ -45,20 +45,20 @@ def latest_aggregates(values: Mapping[str, str], by: str, when: str | None = Non
 
 def enrich(
     frame: DataFrame, source: DataFrame, key: str, source_key: str, columns: Mapping[str, str],
-    order: Sequence[str] | None = None, sparse: bool = True,
+    order: Sequence[str] | None = None, spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Fill columns of ``frame`` from the matching row of ``source``.
 
     Rows without a match get nulls, and none is lost or repeated: with several matches
     the first in ``order`` wins. Pass no order when ``source`` has one row per key.
-    ``sparse`` is for keys that are often null; without it the partitioning of ``frame``
-    on its key is kept.
+    Where the key is often null, ``spread_by`` names columns that tell rows apart, to
+    spread the nulls by.
     """
     if order is not None:
         source = first_per_key(source, [source_key], order)
     picked = source.selectExpr(f"{source_key} as __key", *[f"{column} as {name}" for name, column in columns.items()])
-    if sparse:
-        return left_join_sparse(frame, picked, key, "__key")
+    if spread_by:
+        return left_join_sparse(frame, picked, key, "__key", spread_by)
     return frame.join(picked, F.expr(f"{key} = __key"), "left").drop("__key")
 
 

@@ -25,6 +25,9 @@ from tallyhouse.sinks.stages import StageArea
 
 col = F.col
 
+# What tells the report's rows apart.
+_ROW = ["agreement_id", "bundle_id"]
+
 
 def member_count_schema() -> StructType:
     """Declared columns and types of the report."""
@@ -58,15 +61,15 @@ def net_member_count(
     rows = _with_sellers(tables, agreements)
     for who, user in (("sales", "seller_user"), ("pin", "pin_user")):
         found = {f"{who}_{c}": c for c in ("party", "role_id", "first_name", "last_name", "payroll", "username")}
-        rows = enrich(rows, users, user, "user_id", found)
-    rows = enrich(rows, roles, "sales_party", "party", {"sales_work_role": "work_role"})
+        rows = enrich(rows, users, user, "user_id", found, spread_by=_ROW)
+    rows = enrich(rows, roles, "sales_party", "party", {"sales_work_role": "work_role"}, spread_by=_ROW)
     rows = _with_referrers(tables, rows, roles)
     rows = _with_names(tables, rows)
     if fix_advisor_role:
-        rows = enrich(rows, roles, "advisor_party", "party", {"advisor_work_role": "work_role"})
+        rows = enrich(rows, roles, "advisor_party", "party", {"advisor_work_role": "work_role"}, spread_by=_ROW)
     else:
         advising = restrict_to_keys(roles, "party", agreements.select("advisor_party").distinct())
-        rows = enrich(rows, advising, "sales_party", "party", {"advisor_work_role": "work_role"})
+        rows = enrich(rows, advising, "sales_party", "party", {"advisor_work_role": "work_role"}, spread_by=_ROW)
     return typed_insert(rows.selectExpr(*_output()), member_count_schema())
 
 
@@ -234,8 +237,8 @@ def _with_sellers(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame
     units = tables["WorkUnit"].selectExpr(
         "WorkUnitID as key", "UserId as seller_user", "AuthenticatedUserId as pin_user",
     )
-    rows = left_join_sparse(rows, invoices, "invoice_id", "key")
-    return left_join_sparse(rows, units, "work_unit", "key")
+    rows = left_join_sparse(rows, invoices, "invoice_id", "key", _ROW)
+    return left_join_sparse(rows, units, "work_unit", "key", _ROW)
 
 
 def _with_names(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
@@ -243,7 +246,7 @@ def _with_names(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
     names = tables["PartyPropertiesReportingView"].selectExpr(
         "PartyID as key", "`First Name` as first_name", "`Last Name` as last_name",
     )
-    return left_join_sparse(rows, names, "party_id", "key")
+    return left_join_sparse(rows, names, "party_id", "key", _ROW)
 
 
 def _with_referrers(tables: Mapping[str, DataFrame], rows: DataFrame, roles: DataFrame) -> DataFrame:
@@ -252,7 +255,7 @@ def _with_referrers(tables: Mapping[str, DataFrame], rows: DataFrame, roles: Dat
         "PartyRoleID as key", "PartyRoleID as role_key", "PartyID as party_id", "RoleID as role_id",
         "ReferredByPartyRoleID as referred_by",
     )
-    rows = left_join_sparse(rows, members, "agreement_role", "key")
+    rows = left_join_sparse(rows, members, "agreement_role", "key", _ROW)
     referrers = tables["PartyRole"].selectExpr(
         "PartyRoleID as key", "PartyID as referrer_party",
     )
@@ -266,8 +269,8 @@ def _with_referrers(tables: Mapping[str, DataFrame], rows: DataFrame, roles: Dat
         "key", "referrer_party", "coalesce(staff_first, member_first) as referrer_first",
         "coalesce(staff_last, member_last) as referrer_last", "staff_payroll as referrer_payroll",
     )
-    known = enrich(known, roles, "referrer_party", "party", {"referrer_work_role": "work_role"})
-    return left_join_sparse(rows, known, "referred_by", "key")
+    known = enrich(known, roles, "referrer_party", "party", {"referrer_work_role": "work_role"}, spread_by=["key"])
+    return left_join_sparse(rows, known, "referred_by", "key", _ROW)
 
 
 def _one_name_per_party(people: DataFrame, kind: str, more: list[str]) -> DataFrame:

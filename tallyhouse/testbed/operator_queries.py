@@ -270,7 +270,7 @@ def enrich_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     return enrich(
         customers, orders, "buyer", "o_custkey", {"best_order": "o_orderkey", "best_price": "o_totalprice"},
-        order=["o_totalprice desc", "o_orderkey desc"],
+        order=["o_totalprice desc", "o_orderkey desc"], spread_by=["c_custkey"],
     )
 
 
