@@ -36,6 +36,20 @@ def left_join_sparse(
     return keyed.join(other, on, "left").drop("__spread", "__match", "__at")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join whose right side may repeat one key without bound; the right key is not returned.
+
+    A left outer join cannot split a hot key of its right side over several tasks. An
+    inner join can, and can also broadcast a small left side, so the matched rows come
+    from one and the unmatched rows of ``left`` are added. Both sides are read twice:
+    keep them as stages first.
+    """
+    other = right.withColumnRenamed(right_key, "__match")
+    matched = left.join(other, F.expr(f"{left_key} = __match")).drop("__match")
+    alone = unmatched(left, right.select(right_key).distinct(), left_key, right_key)
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def restrict_to_keys(frame: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is among ``keys`` (a one-column frame), none repeated.
 

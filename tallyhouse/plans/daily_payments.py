@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions import as_text, day_window, optional_filter
-from tallyhouse.operators import exclude, restrict_to_keys, unmatched, wide_key_distinct
+from tallyhouse.operators import (
+    exclude, left_join_many, left_join_sparse, restrict_to_keys, unmatched, wide_key_distinct,
+)
 from tallyhouse.sinks.stages import StageArea
 from tallyhouse.streaming.highwater import Extract, day_aligned, resolve_window
 
@@ -41,15 +43,13 @@ def daily_pos(
     requests = tables["PaymentProcessRequest"].selectExpr("TxPaymentID as requested_payment")
     requests = restrict_to_keys(requests, "requested_payment", ids)
     payments = unmatched(window, requests, "payment_id", "requested_payment")
+    # Equal electronic rows of a payment are counted before the join.
     electronic = restrict_to_keys(_electronic(tables), "eft_payment", ids)
-    ledger = restrict_to_keys(_payment_ledger(tables), "ledger_payment", ids)
+    electronic = electronic.groupBy(*electronic.columns).agg(F.count("*").cast("decimal(19,0)").alias("eft_times"))
+    ledger = stages.keep(restrict_to_keys(_payment_ledger(tables), "ledger_payment", ids), "pos_ledger")
     units = _units(tables).withColumnRenamed("unit_merchant", "merchant")
-
-    joined = (
-        payments.join(electronic, F.expr("payment_id = eft_payment"), "left")
-        .join(ledger, F.expr("payment_id = ledger_payment"), "left")
-        .join(units, "unit_id", "left")
-    )
+    paid = payments.join(electronic, F.expr("payment_id = eft_payment"), "left").join(units, "unit_id", "left")
+    joined = left_join_many(stages.keep(paid, "pos_paid"), ledger, "payment_id", "ledger_payment")
     keys = [
         "role_key", "role_id", "party_id", "link_id", "link_type", "payment_id", "reference", "paid_at",
         "payment_amount", "tender_id", "unit_id", "card_type", "declined", "ledger_text", "invoice_id",
@@ -57,10 +57,11 @@ def daily_pos(
         "response_text", "unit_name", "gl_prefix", "unit_code",
     ]
     # Summing an amount that is also a key gives it once per repeated row.
-    summed = joined.groupBy(*keys).agg(F.sum("ledger_amount").alias("transaction_amount"))
+    amount = F.expr("sum(ledger_amount * coalesce(eft_times, 1)) as transaction_amount")
+    summed = joined.groupBy(*keys).agg(amount)
     summed = stages.keep(summed, "pos_summed")
     invoices = _invoices(tables, summed)
-    detail = _codes(tables, summed).join(invoices, F.expr("invoice_id = known_invoice"), "left")
+    detail = left_join_sparse(_codes(tables, summed), invoices, "invoice_id", "known_invoice", ["payment_id"])
     # Requests are absent by construction, so the code is always blank.
     output = {
         "RoleId": "role_id", "TxPaymentID": "payment_id", "TxInvoiceID": "invoice_id",
@@ -101,13 +102,13 @@ def daily_batch(
     ledger = restrict_to_keys(_payment_ledger(tables), "ledger_payment", payments.select("payment_id"))
     # Equal ledger rows of a payment are added up before the join.
     ledger_keys = ["ledger_payment", "ledger_text", "ledger_amount", "credit", "invoice_id"]
-    ledger = ledger.groupBy(*ledger_keys).agg(F.sum("ledger_amount").alias("added"))
+    ledger = stages.keep(ledger.groupBy(*ledger_keys).agg(F.sum("ledger_amount").alias("added")), "batch_ledger")
     keys = [
         "payment_id", "request_id", "batch_id", "paid_at", "card_type", "tender_id", "role_key", "role_id",
         "party_id", "declined",
     ]
     summed = (
-        sent.join(ledger, F.expr("payment_id = ledger_payment"), "left")
+        left_join_many(sent, ledger, "payment_id", "ledger_payment")
         .groupBy(*keys, *ledger_keys[1:])
         .agg(F.sum("added").alias("transaction_amount"))
     )
@@ -116,10 +117,10 @@ def daily_batch(
         "PaymentProcessRequestId as answered", "ReferenceId as response_reference", "ResponseCode as response",
         "ResponseMessage as response_text",
     )
-    responses = restrict_to_keys(responses, "answered", sent.select("request_id"))
+    responses = restrict_to_keys(responses, "answered", sent.select("request_id")).distinct()
     electronic = restrict_to_keys(_electronic(tables), "eft_payment", sent.select("payment_id")).select(
         "eft_payment", "token", "mask", "expires", "eft_merchant"
-    )
+    ).distinct()
     detail = (
         summed.join(_invoices(tables, summed), F.expr("invoice_id = known_invoice"))
         .join(responses, F.expr("request_id = answered"))

@@ -173,6 +173,8 @@ def monthly_dues(tables: Mapping[str, DataFrame]) -> DataFrame:
     prices = tables["MemberAgreementItemPerpetual"].selectExpr(
         "MemberAgreementItemId as item_id", "Sequence as sequence", "Price as price",
     )
+    # An item's own first price decides, so no item carries more than one into the join.
+    prices = first_per_key(prices, ["item_id"], ["sequence asc nulls first", "price asc nulls first"])
     order = ["sequence asc nulls first", "item_id desc", "price asc nulls first"]
     first = first_per_key(items.join(prices, "item_id", "left"), ["agreement_id"], order)
     return first.selectExpr("agreement_id", "price as dues")

@@ -16,7 +16,7 @@ from tallyhouse.functions import (
 )
 from tallyhouse.operators import (
     aging_buckets, count_matches, credit_negative, credit_positive, enrich, exclude, first_per_key, latest_values,
-    nonzero_sum, restrict_to_keys, typed_insert, unmatched, wide_key_distinct,
+    left_join_many, nonzero_sum, restrict_to_keys, typed_insert, unmatched, wide_key_distinct,
 )
 from tallyhouse.operators.keyed import latest_aggregates
 from tallyhouse.sinks.replace import replace_if_nonempty
@@ -364,7 +364,7 @@ def left_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left join with a literal condition on the right side; repeated matches are kept."""
     urgent = _table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return customers.join(urgent, F.expr("c_custkey = o_custkey"), "left").select("c_custkey", "c_name", "o_orderkey")
+    return left_join_many(customers, urgent, "c_custkey", "o_custkey").select("c_custkey", "c_name", "o_orderkey")
 
 
 def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from tallyhouse.fixed_values import EXCLUSION_REPORTS
 from tallyhouse.plans.daily_payments import daily_batch, daily_pos
 from tallyhouse.testbed.adapter import billing_tables
 
@@ -47,9 +48,8 @@ def test_window_and_next_mark(billing):
 
 
 def test_who_and_what_is_left_out(billing):
-    listed = [("TSI_Daily_Transactions_POS_Trintech", 0, "3"), ("TSI_Daily_Transactions_POS_Trintech", 1, "4"),
-              ("BFX_Daily_Transactions_POS_Trintech", 0, "4"), ("TSI_Daily_Transactions_POS_Trintech", 0, "cash"),
-              ("TSI_Daily_Transaction_Batch_Trintech", 0, "1")]
+    pos, other, batch = EXCLUSION_REPORTS["pos", "tsi"], EXCLUSION_REPORTS["pos", "bfx"], EXCLUSION_REPORTS["batch", "tsi"]
+    listed = [(pos, 0, "3"), (pos, 1, "4"), (other, 0, "4"), (pos, 0, "cash"), (batch, 0, "1")]
     tables = billing(**BASE, TxPayment=[
         payment(1), payment(2, PartyRoleId=6), payment(3, PartyRoleId=None), payment(4, TenderTypeID=3),
         payment(5, TenderTypeID=4), payment(6, TenderTypeID=None), payment(7)],

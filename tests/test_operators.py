@@ -61,6 +61,13 @@ def test_left_join_sparse_fans_out(spark):
         (1, None, None), (2, 5, "x"), (2, 5, "y"), (3, None, None)]
 
 
+def test_left_join_many_is_a_left_join(spark):
+    left = spark.createDataFrame([(1, None), (2, 5), (3, 6), (4, 5)], "id int, key int")
+    right = spark.createDataFrame([(5, "x"), (5, "x"), (5, "y"), (None, "z"), (7, "w")], "k int, v string")
+    plain = left.join(right, left.key == right.k, "left").drop("k")
+    assert rows(left_join_many(left, right, "key", "k")) == rows(plain)
+
+
 def test_null_keys_are_spread_over_shuffle_groups(spark):
     left = spark.range(10_000).selectExpr("id", "cast(null as bigint) as key")
     right = spark.range(10).selectExpr("id as k", "id as v")
