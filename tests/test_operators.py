@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from tallyhouse.fixed_values import AGING_EDGES
 from tallyhouse.operators import (
     aging_buckets, count_matches, credit_negative, credit_positive, enrich, exclude, first_per_key, latest_values,
-    left_join_sparse, nonzero_sum, restrict_to_keys, typed_insert, unmatched, wide_key_distinct,
+    left_join_many, left_join_sparse, nonzero_sum, restrict_to_keys, typed_insert, unmatched, wide_key_distinct,
 )
 
 

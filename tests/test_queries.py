@@ -30,3 +30,28 @@ def test_entry(spark):
     for row in rows:
         buckets = [row.current, row.days_31_60, row.days_61_90, row.days_91_120, row.days_121_up]
         assert sum(buckets) == pytest.approx(row.total_due)
+
+
+# Joins as on tables too large to broadcast, with partitions split at a few kilobytes.
+_LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+}
+
+
+@pytest.mark.parametrize("name", [
+    "report_daily_pos", "report_daily_batch", "report_net_members", "report_ar_aging", "left_join_fanout", "enrich_update",
+])
+def test_query_with_shuffled_and_split_joins(name, spark, sf_dir, con):
+    before = {key: spark.conf.get(key, None) for key in _LARGE}
+    for key, value in _LARGE.items():
+        spark.conf.set(key, value)
+    try:
+        frame = QUERIES[name](spark, sf_dir)
+        assert differences(frame, con, CHECKS[name]) is None
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
