@@ -63,8 +63,8 @@ def net_member_count(
         found = {f"{who}_{c}": c for c in ("party", "role_id", "first_name", "last_name", "payroll", "username")}
         rows = enrich(rows, users, user, "user_id", found, spread_by=_ROW)
     rows = enrich(rows, roles, "sales_party", "party", {"sales_work_role": "work_role"}, spread_by=_ROW)
-    rows = _with_referrers(tables, rows, roles)
-    rows = _with_names(tables, rows)
+    rows = _with_members(tables, rows)
+    rows = left_join_sparse(rows, referrers(tables, agreements, roles, stages), "referred_by", "key", _ROW)
     if fix_advisor_role:
         rows = enrich(rows, roles, "advisor_party", "party", {"advisor_work_role": "work_role"}, spread_by=_ROW)
     else:
@@ -243,39 +243,45 @@ def _with_sellers(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame
     return left_join_sparse(rows, units, "work_unit", "key", _ROW)
 
 
-def _with_names(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
-    """Member of the agreement."""
+def _member_roles(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return tables["PartyRole"].selectExpr(
+        "PartyRoleID as key", "PartyRoleID as role_key", "PartyID as party_id", "RoleID as role_id",
+        "ReferredByPartyRoleID as referred_by",
+    )
+
+
+def _with_members(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
+    """Member of the agreement, with their name and who referred them."""
     names = tables["PartyPropertiesReportingView"].selectExpr(
         "PartyID as key", "`First Name` as first_name", "`Last Name` as last_name",
     )
+    rows = left_join_sparse(rows, _member_roles(tables), "agreement_role", "key", _ROW)
     return left_join_sparse(rows, names, "party_id", "key", _ROW)
 
 
-def _with_referrers(tables: Mapping[str, DataFrame], rows: DataFrame, roles: DataFrame) -> DataFrame:
-    """Member role of the agreement, then who referred it: an employee or a member."""
-    members = tables["PartyRole"].selectExpr(
-        "PartyRoleID as key", "PartyRoleID as role_key", "PartyID as party_id", "RoleID as role_id",
-        "ReferredByPartyRoleID as referred_by",
-    )
-    rows = left_join_sparse(rows, members, "agreement_role", "key", _ROW)
-    referrers = tables["PartyRole"].selectExpr(
-        "PartyRoleID as key", "PartyID as referrer_party",
-    )
-    staff = _one_name_per_party(tables["ReportingEmployeeCharacteristics"], "staff", ["Payroll ID"])
-    member = _one_name_per_party(tables["ReportingMemberCharacteristics"], "member", [])
-    # One row per referrer; the name columns are attached here, off the agreements.
-    wanted = rows.select("referred_by")
-    known = restrict_to_keys(referrers, "key", wanted)
-    known = known.join(staff, F.expr("referrer_party = staff_party"), "left")
-    known = known.join(member, F.expr("referrer_party = member_party"), "left").selectExpr(
-        "key", "referrer_party", "coalesce(staff_first, member_first) as referrer_first",
-        "coalesce(staff_last, member_last) as referrer_last", "staff_payroll as referrer_payroll",
+def referrers(
+    tables: Mapping[str, DataFrame], agreements: DataFrame, roles: DataFrame, stages: StageArea
+) -> DataFrame:
+    """Who referred the members of these agreements: an employee, else a member; one row per referrer."""
+    members = restrict_to_keys(_member_roles(tables), "key", agreements.select("agreement_role").distinct())
+    found = tables["PartyRole"].selectExpr("PartyRoleID as key", "PartyID as referrer_party")
+    found = stages.keep(restrict_to_keys(found, "key", members.select("referred_by").distinct()), "referrers")
+    parties = found.select("referrer_party").distinct()
+    staff = _one_name_per_party(tables["ReportingEmployeeCharacteristics"], parties, "staff", ["Payroll ID"])
+    member = _one_name_per_party(tables["ReportingMemberCharacteristics"], parties, "member", [])
+    named = (
+        found.join(staff, F.expr("referrer_party = staff_party"), "left")
+        .join(member, F.expr("referrer_party = member_party"), "left")
+        .selectExpr(
+            "key", "referrer_party", "coalesce(staff_first, member_first) as referrer_first",
+            "coalesce(staff_last, member_last) as referrer_last", "staff_payroll as referrer_payroll",
+        )
     )
-    known = enrich(known, roles, "referrer_party", "party", {"referrer_work_role": "work_role"}, spread_by=["key"])
-    return left_join_sparse(rows, known, "referred_by", "key", _ROW)
+    return enrich(named, roles, "referrer_party", "party", {"referrer_work_role": "work_role"}, spread_by=["key"])
 
 
-def _one_name_per_party(people: DataFrame, kind: str, more: list[str]) -> DataFrame:
+def _one_name_per_party(people: DataFrame, parties: DataFrame, kind: str, more: list[str]) -> DataFrame:
+    people = restrict_to_keys(people, "PartyID", parties)
     columns = ["First Name", "Last Name", *more]
     first = first_per_key(people, ["PartyID"], [f"`{name}` asc nulls first" for name in columns])
     short = {"First Name": "first", "Last Name": "last", "Payroll ID": "payroll"}
