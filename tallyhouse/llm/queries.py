@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
+from tallyhouse.llm.jaccard_join import OP3_SQL, op3_jaccard_join
 from tallyhouse.llm.substrings import OP7_SQL, op7_substring_dedup
 
 QUERIES = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_decontamination": op9_decontamination,
 }
 
-ORACLES = {"op7_substring_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op3_jaccard_join": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
