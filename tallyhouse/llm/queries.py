@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
 from tallyhouse.llm.jaccard_join import OP3_SQL, op3_jaccard_join
+from tallyhouse.llm.mixing import OP8_SQL, op8_mixing
+from tallyhouse.llm.quality_rules import OP1_SQL, op1_quality_rules
+from tallyhouse.llm.sharding import op2_sharding
 from tallyhouse.llm.substrings import OP7_SQL, op7_substring_dedup
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_sharding": op2_sharding,
     "op3_jaccard_join": op3_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
 }
 
-ORACLES = {"op3_jaccard_join": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {
+    "op1_quality_rules": OP1_SQL,
+    "op3_jaccard_join": OP3_SQL,
+    "op7_substring_dedup": OP7_SQL,
+    "op8_mixing": OP8_SQL,
+    "op9_decontamination": OP9_SQL,
+}
