@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.compression_quality import op5_compression_quality
 from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
+from tallyhouse.llm.html_extract import op4_html_extraction
 from tallyhouse.llm.jaccard_join import OP3_SQL, op3_jaccard_join
+from tallyhouse.llm.language import op10_language_id
 from tallyhouse.llm.mixing import OP8_SQL, op8_mixing
 from tallyhouse.llm.quality_rules import OP1_SQL, op1_quality_rules
 from tallyhouse.llm.sharding import op2_sharding
@@ -13,9 +16,12 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_compression_quality": op5_compression_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
