@@ -7,9 +7,9 @@ form one shingle. Two documents link when ``100 * intersection >= percent * unio
    same everywhere, which is all that prefix filtering needs; collisions in the table only cost speed.
 2. Two linked sets share a shingle of their prefixes, the first ``n - ceil(t n) + 1`` in that order. Documents with
    equal sets are one class. Prefix shingles that only one class has are dropped.
-3. Candidates meet on a prefix shingle and pass the length filter, the positional filter, and a suffix
-   filter: shingles of the prefix that no other class has cannot be shared with a set whose prefix ends later, and the
-   sets' sizes by hash range bound what they share.
+3. Candidates meet on a prefix shingle and pass the length filter, the positional filter, and suffix
+   filters: shingles of the prefix that no other class has cannot be shared with a set whose prefix ends later, and the
+   Hamming distance of the sets' parity bitmaps is at most the number of shingles that they do not share.
 4. Every class is first compared with one class per prefix shingle, the one with the fewest unshared shingles, which
    keeps large groups linear. Pairs of classes that are then still in different components but share a
    prefix shingle are all compared too, so no link that joins components is missed. Each pair is verified once, on the texts.
@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import LAST_ID, Stages, read, row_key, shuffle_partitions
+from tallyhouse.llm import tables
+from tallyhouse.llm.common import LAST_ID, Stages, read, row_key
 from tallyhouse.llm.components import components
 from tallyhouse.llm.words import SPACES, Words, as_long, inside_text, mixed, runs_of, slices, window_hashes
 
 SIZE = 4
 PERCENT = 85
 TABLE_BITS = 20
-_CHUNK = 4096
-_RANGES = 64
+_BITS = 512
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,40 +64,16 @@ def _count_slots(batches: Iterator[pa.RecordBatch], size: int, bits: int) -> Ite
     for part in slices(batches):
         value, _, _ = shingle_sets(part.column("text"), size)
         table += np.bincount((value >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    chunks = table.reshape(-1, _CHUNK)
-    used = np.flatnonzero(chunks.any(axis=1))
-    if len(used):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), runs_of(chunks[used].reshape(-1), np.full(len(used), _CHUNK), pa.int64())],
-            ["chunk", "counts"])
-
-
-def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per chunk of the table; at most the table is held."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        values = batch.column("counts").flatten().to_numpy().reshape(-1, _CHUNK)
-        for chunk, row in zip(batch.column("chunk").to_pylist(), values, strict=True):
-            sums[chunk] = sums[chunk] + row if chunk in sums else row.copy()
-    if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), runs_of(np.concatenate(list(sums.values())), np.full(len(sums), _CHUNK), pa.int64())],
-            ["chunk", "counts"])
+    yield from tables.chunks_of(table)
 
 
 def count_table(rows: DataFrame, size: int = SIZE, bits: int = TABLE_BITS) -> np.ndarray:
     """How often shingles fall into each of ``2 ** bits`` slots, over all documents. Always the same size (8 MB)."""
-    schema = "chunk int, counts array<long>"
-    sums = rows.select("text").mapInArrow(partial(_count_slots, size=size, bits=bits), schema) \
-        .repartition(min(64, shuffle_partitions(rows.sparkSession)), "chunk").mapInArrow(_sum_chunks, schema)
-    table = np.zeros((1 << bits) // _CHUNK * _CHUNK, np.int64).reshape(-1, _CHUNK)
-    for row in sums.toArrow().to_pylist():
-        table[row["chunk"]] = row["counts"]
-    return table.reshape(-1)
+    return tables.summed(rows.select("text").mapInArrow(partial(_count_slots, size=size, bits=bits), tables.SCHEMA), 1 << bits)
 
 
 def _profiles(batches: Iterator[pa.RecordBatch], table, size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Per document its class, set size, prefix in order, last prefix key, and set size by hash range."""
+    """Per document its class, set size, prefix in order, last prefix key, and parity bitmap of the set."""
     table = table.value
     bits = int(len(table)).bit_length() - 1
     for part in slices(batches):
@@ -116,14 +92,16 @@ def _profiles(batches: Iterator[pa.RecordBatch], table, size: int, percent: int)
         pick = place < np.repeat(length, n)
         end = first[:-1] + np.maximum(length - 1, 0)
         last = np.where(n > 0, np.append(key, 0)[np.minimum(end, len(key))], 0)
-        ranges = np.bincount(row * _RANGES + (value >> np.uint64(58)).astype(np.int64)[np.argsort(order, kind="stable")],
-                             minlength=part.num_rows * _RANGES).reshape(-1, _RANGES)
-        small = np.minimum(ranges, 255).astype(np.uint8)
+        odd = np.zeros(part.num_rows * _BITS, bool)
+        spot, times = np.unique(np.repeat(np.arange(part.num_rows), n) * _BITS + (value & np.uint64(_BITS - 1)).astype(np.int64),
+                                return_counts=True)
+        odd[spot] = times % 2 == 1
+        bits_of = np.packbits(odd.reshape(-1, _BITS), axis=1, bitorder="little").view(np.int64)
         yield pa.RecordBatch.from_arrays([
             part.column("doc_id"), part.column("dk"), part.column("th"), pa.array(n, pa.int32()), as_long(klass),
             runs_of(value[pick].view(np.int64), length, pa.int64()), pa.array(last, pa.int64()),
-            pa.array([x.tobytes() for x in small], pa.binary()),
-        ], ["doc_id", "dk", "th", "n", "class", "prefix", "last", "ranges"])
+            runs_of(bits_of.reshape(-1), np.full(part.num_rows, _BITS // 64), pa.int64()),
+        ], ["doc_id", "dk", "th", "n", "class", "prefix", "last", "bits"])
 
 
 def _needed(x: Column, y: Column, percent: int) -> Column:
@@ -146,18 +124,12 @@ def _filters(percent: int, a: str = "a_", b: str = "b_") -> Column:
     return (100 * smaller >= percent * larger) & (before + after >= need) & (sharable >= need)
 
 
-def _range_filter(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Drop pairs whose sizes by hash range leave too small an intersection; a count of 255 may stand for more."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, _RANGES).astype(np.int64)
-                for c in ("a_ranges", "b_ranges"))
-        n = batch.column("a_n").to_numpy().astype(np.int64) + batch.column("b_n").to_numpy()
-        shared = np.minimum(x, y).sum(axis=1)
-        unsure = ((x == 255) & (y == 255)).any(axis=1)
-        keep = unsure | (shared * (100 + percent) >= percent * n)
-        yield batch.filter(pa.array(keep)).select(["a", "b", "a_dk", "a_th", "b_dk", "b_th"])
+def _near_enough(percent: int, a: str = "a_", b: str = "b_") -> Column:
+    """Whether the bitmaps allow the needed intersection: each shingle that only one set has flips one bit."""
+    apart = sum((F.bit_count(F.get(F.col(a + "bits"), i).bitwiseXOR(F.get(F.col(b + "bits"), i))) for i in range(1, _BITS // 64)),
+                F.bit_count(F.get(F.col(a + "bits"), 0).bitwiseXOR(F.get(F.col(b + "bits"), 0))))
+    x, y = F.col(a + "n"), F.col(b + "n")
+    return apart + 2 * _needed(x, y, percent) <= x + y
 
 
 def _verify(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -177,10 +149,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     """The links among candidate pairs (a, b) of classes."""
     for side in ("a", "b"):
         facts = classes.select(*[F.col(c).alias(side if c == "class" else f"{side}_{c}")
-                                 for c in ("class", "dk", "th", "n", "ranges")])
+                                 for c in ("class", "dk", "th", "n", "bits")])
         pairs = pairs.join(facts, side)
-    pairs = pairs.mapInArrow(partial(_range_filter, percent=percent),
-                             "a long, b long, a_dk long, a_th long, b_dk long, b_th long")
+    pairs = pairs.filter(_near_enough(percent)).select("a", "b", "a_dk", "a_th", "b_dk", "b_th")
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(*[F.col(c).alias(f"{side}_{c}") for c in ("dk", "th", "text")]),
                            [f"{side}_dk", f"{side}_th"])
@@ -200,15 +171,15 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     table = spark.sparkContext.broadcast(count_table(rows, size, table_bits))
     profiles = stages.keep(rows.mapInArrow(
         partial(_profiles, table=table, size=size, percent=percent),
-        "doc_id long, dk long, th long, n int, class long, prefix array<long>, last long, ranges binary"))
+        "doc_id long, dk long, th long, n int, class long, prefix array<long>, last long, bits array<long>"))
 
     postings = profiles.filter("n > 0").select(
         F.posexplode("prefix").alias("pos", "token"), "class", "n", "last")
     common = postings.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     met = stages.keep(postings.join(common, "token", "left_semi"))
     classes = stages.keep(profiles.filter("n > 0").groupBy("class").agg(
-        F.min(F.struct("dk", "th")).alias("first"), F.min("n").alias("n"), F.min("ranges").alias("ranges"),
-        F.count("*").alias("copies")).select("class", "first.dk", "first.th", "n", "ranges", "copies"))
+        F.min(F.struct("dk", "th")).alias("first"), F.min("n").alias("n"), F.min("bits").alias("bits"),
+        F.count("*").alias("copies")).select("class", "first.dk", "first.th", "n", "bits", "copies"))
     # Prefix shingles that no other class has, from those met; the copies of a class have met the same ones.
     alone = met.groupBy("class").count().join(classes.select("class", "n", "copies"), "class").select(
         "class", F.expr(f"n - ceil({percent} * n / 100 - 1e-9) + 1 - count div copies").cast("int").alias("alone"))
@@ -227,9 +198,9 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     placed = met.join(roots.select(F.col("node").alias("class"), "root"), "class", "left") \
         .withColumn("root", F.coalesce("root", "class"))
     apart = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    open_ = stages.keep(placed.join(apart, "token", "left_semi"))
-    rest = _sided(open_, "a").join(_sided(open_, "b"), "token").filter("a_root < b_root").filter(_filters(percent)) \
-        .select(*pair).distinct().join(first, ["a", "b"], "left_anti")
+    open_ = stages.keep(placed.join(apart, "token", "left_semi").join(classes.select("class", "bits"), "class"))
+    rest = _sided(open_, "a").join(_sided(open_, "b"), "token").filter("a_root < b_root").filter(
+        _filters(percent) & _near_enough(percent)).select(*pair).distinct().join(first, ["a", "b"], "left_anti")
     rest = stages.keep(rest)
     if not rest.isEmpty():
         more = stages.keep(_verified(rest, classes, texts, size, percent))

@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -138,7 +139,7 @@ def inside_text(first: np.ndarray, size: int) -> np.ndarray:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with up to ``limit`` bytes of text; a longer text stands alone, whole."""
+    """Cut batches into runs of rows with up to ``limit`` bytes of text and SLICE_ROWS rows; a longer text stands alone, whole."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -147,7 +148,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         low = 0
         while low < batch.num_rows:
             begun = ends[low] - size[low]
-            high = max(low + 1, int(np.searchsorted(ends, begun + limit, "right")))
+            high = max(low + 1, min(low + SLICE_ROWS, int(np.searchsorted(ends, begun + limit, "right"))))
             yield batch.slice(low, high - low)
             low = high
 
