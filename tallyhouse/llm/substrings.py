@@ -127,13 +127,11 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     """
     rows = row_key(documents)
     # A later copy of a text holds nothing new: all its windows start in the first one.
-    firsts = rows.groupBy("th", F.octet_length("text").alias("size")).agg(F.min("dk").alias("first"), F.count("*").alias("n"))
-    copies = (
-        rows.select("dk", "th", F.octet_length("text").alias("size"))
-        .join(firsts.filter("n > 1"), ["th", "size"]).filter("dk > first").select("dk", "th").distinct()
-        .withColumn("copy", F.lit(True))
-    )
-    texts_of = rows.join(copies, ["dk", "th"], "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
+    sized = rows.select("dk", "th", F.octet_length("text").alias("size"))
+    firsts = sized.groupBy("th", "size").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
+    copies = sized.join(firsts, ["th", "size"]).filter("dk > first").groupBy("dk").agg(F.collect_set("th").alias("copies"))
+    # Every join below is on dk, so the texts are dealt out once. Facts of a dk name their text by ``th``.
+    texts_of = rows.join(copies, "dk", "left").withColumn("copy", F.coalesce(F.array_contains("copies", F.col("th")), F.lit(False)))
     once = texts_of.filter("not copy").select("dk", "th", "text")
     anchors = once.mapInArrow(partial(_emit_anchors, window=window), "anchor long, dk long")
     common = anchors.groupBy("anchor").agg(F.min("dk").alias("low"), F.max("dk").alias("high")).filter("low < high")
@@ -141,10 +139,12 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     windows = once.join(shared, "dk").mapInArrow(
         partial(_emit_windows, window=window), "window long, dk long, th long, word int")
     earliest = windows.groupBy("window").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
-    found = windows.join(earliest, "window").filter("dk > first").groupBy("dk", "th").agg(F.collect_set("word").alias("words"))
+    found = windows.join(earliest, "window").filter("dk > first").groupBy("dk").agg(
+        F.collect_set(F.struct("th", "word")).alias("found"))
+    own = F.transform(F.filter("found", lambda f: f["th"] == F.col("th")), lambda f: f["word"])
     schema = ("doc_id long, dk long, th long, n_words long, n_removed long, "
               "factors array<struct<word: long, n_words: long>>, kept string")
-    return texts_of.join(found, ["dk", "th"], "left").select("doc_id", "dk", "th", "text", "copy", "words").mapInArrow(
+    return texts_of.join(found, "dk", "left").select("doc_id", "dk", "th", "text", "copy", own.alias("words")).mapInArrow(
         partial(_clean, window=window, texts=texts), schema)
 
 
