@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where a later step wants the same partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Long texts: what goes to Python at once is bounded by bytes and rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
