@@ -7,6 +7,7 @@ from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
 from tallyhouse.llm.html_extract import op4_html_extraction
 from tallyhouse.llm.jaccard_join import OP3_SQL, op3_jaccard_join
 from tallyhouse.llm.language import op10_language_id
+from tallyhouse.llm.lm_scoring import OP6_SQL, op6_lm_scoring
 from tallyhouse.llm.mixing import OP8_SQL, op8_mixing
 from tallyhouse.llm.quality_rules import OP1_SQL, op1_quality_rules
 from tallyhouse.llm.sharding import op2_sharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_compression_quality": op5_compression_quality,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
@@ -27,6 +29,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op6_lm_scoring": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op9_decontamination": OP9_SQL,
