@@ -12,8 +12,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Null keys are spread over this many shuffle groups.
-NULL_SPREAD = 1024
 
 
 def quoted(names: Iterable[str]) -> list[str]:
@@ -29,9 +27,9 @@ def left_join_sparse(
     a hash of ``spread_by``, columns that tell rows apart; it is the same on every retry.
     """
     row_hash = f"xxhash64({', '.join(quoted(spread_by))})"
-    spread = F.expr(f"cast(case when {left_key} is null then pmod({row_hash}, {NULL_SPREAD}) else 0 end as int)")
+    spread = F.expr(f"case when {left_key} is null then {row_hash} else 0 end")
     keyed = left.withColumn("__spread", spread)
-    other = right.withColumnRenamed(right_key, "__match").withColumn("__at", F.lit(0))
+    other = right.withColumnRenamed(right_key, "__match").withColumn("__at", F.lit(0).cast("long"))
     on = F.expr(f"{left_key} = __match and __spread = __at")
     return keyed.join(other, on, "left").drop("__spread", "__match", "__at")
 
@@ -46,7 +44,7 @@ def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """
     other = right.withColumnRenamed(right_key, "__match")
     matched = left.join(other, F.expr(f"{left_key} = __match")).drop("__match")
-    alone = unmatched(left, right.select(right_key).distinct(), left_key, right_key)
+    alone = unmatched(left, right, left_key, right_key)
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
@@ -61,7 +59,8 @@ def restrict_to_keys(frame: DataFrame, column: str, keys: DataFrame) -> DataFram
 
 def unmatched(frame: DataFrame, other: DataFrame, column: str, other_column: str) -> DataFrame:
     """Rows of ``frame`` with no match in ``other``; a null key has no match."""
-    keys = other.selectExpr(f"{other_column} as __key").filter("__key is not null")
+    # A repeated key of the right side, however hot, is one row after combining before the shuffle.
+    keys = other.selectExpr(f"{other_column} as __key").filter("__key is not null").distinct()
     return frame.join(keys, F.expr(f"{column} = __key"), "left_anti")
 
 

@@ -27,17 +27,17 @@ col = F.col
 def daily_pos(
     tables: Mapping[str, DataFrame], *, now: datetime, tenant: str, current_mark: datetime | None = None,
     new_mark: datetime | None = None, payment_id: int | None = None, member: str | None = None,
-    case_insensitive: bool = True, stages: StageArea | None = None,
+    case_insensitive: bool = True, exclusion_report: str | None = None, stages: StageArea | None = None,
 ) -> Extract:
     """Payments of the window that never went to the batch processor.
 
     ``current_mark`` is the first day, yesterday by default; ``new_mark`` the day after the
     last, one day later by default, and the mark to start the next run from. ``tenant``
-    chooses the exclusion list. ``payment_id`` and ``member`` narrow the extract down.
+    chooses the exclusion list; ``exclusion_report`` names one directly, for any other tenant. ``payment_id`` and ``member`` narrow the extract down.
     """
     low, high = resolve_window(current_mark, new_mark, now)
     stages = stages or StageArea(tables["TxPayment"].sparkSession)
-    report = fixed.EXCLUSION_REPORTS["pos", tenant.lower()]
+    report = exclusion_report or fixed.EXCLUSION_REPORTS["pos", tenant.lower()]
     window = stages.keep(_payments(tables, low, high, payment_id, member, report), "pos_window")
     ids = window.select("payment_id")
     requests = tables["PaymentProcessRequest"].selectExpr("TxPaymentID as requested_payment")
@@ -84,7 +84,8 @@ def daily_pos(
 def daily_batch(
     tables: Mapping[str, DataFrame], *, now: datetime, tenant: str, current_mark: datetime | None = None,
     new_mark: datetime | None = None, transaction_code: int | str | None = None, payment_id: int | None = None,
-    member: str | None = None, case_insensitive: bool = True, stages: StageArea | None = None,
+    member: str | None = None, case_insensitive: bool = True, exclusion_report: str | None = None,
+    stages: StageArea | None = None,
 ) -> Extract:
     """Payments of the window that were sent to the batch processor and answered.
 
@@ -93,7 +94,8 @@ def daily_batch(
     low, high = resolve_window(current_mark, new_mark, now)
     stages = stages or StageArea(tables["TxPayment"].sparkSession)
     code = None if transaction_code is None else int(transaction_code)
-    payments = _payments(tables, low, high, payment_id, member, fixed.EXCLUSION_REPORTS["batch", tenant.lower()])
+    report = exclusion_report or fixed.EXCLUSION_REPORTS["batch", tenant.lower()]
+    payments = _payments(tables, low, high, payment_id, member, report)
     payments = stages.keep(payments, "batch_payments")
     requests = tables["PaymentProcessRequest"].filter(optional_filter(col("PaymentProcessRequestId"), code)).selectExpr(
         "TxPaymentID as payment_id", "PaymentProcessRequestId as request_id", "PaymentProcessBatchId as batch_id",
@@ -117,8 +119,8 @@ def daily_batch(
         "PaymentProcessRequestId as answered", "ReferenceId as response_reference", "ResponseCode as response",
         "ResponseMessage as response_text",
     )
-    responses = restrict_to_keys(responses, "answered", sent.select("request_id")).distinct()
-    electronic = restrict_to_keys(_electronic(tables), "eft_payment", sent.select("payment_id")).select(
+    responses = restrict_to_keys(responses, "answered", sent.select("request_id").distinct()).distinct()
+    electronic = restrict_to_keys(_electronic(tables), "eft_payment", sent.select("payment_id").distinct()).select(
         "eft_payment", "token", "mask", "expires", "eft_merchant"
     ).distinct()
     detail = (
@@ -195,7 +197,7 @@ def _invoices(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
     invoices = tables["TxInvoice"].selectExpr(
         "TxInvoiceID as known_invoice", "TargetDate as invoiced_at", "TargetBusinessUnitId as invoice_unit",
     )
-    return restrict_to_keys(invoices, "known_invoice", rows.select("invoice_id"))
+    return restrict_to_keys(invoices, "known_invoice", rows.select("invoice_id").distinct())
 
 
 def _codes(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
@@ -206,13 +208,14 @@ def _codes(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
     accounts = tables["GeneralLedgerCode"].selectExpr(
         "GeneralLedgerCodeId as account_id", "Description as cash_account",
     )
-    tenders = tables["TenderType"].join(
-        accounts, col("GeneralLedgerCodeId") == col("account_id"), "left"
-    ).selectExpr("TenderTypeID as tender_id", "Name as tender", "cash_account")
+    tenders = tables["TenderType"].selectExpr(
+        "TenderTypeID as tender_id", "Name as tender", "GeneralLedgerCodeId as tender_account",
+    )
     merchants = tables["Ref_TSI_MIDs_Reference"].withColumnRenamed("OrgID", "merchant_prefix")
     return (
         rows.join(cards, "card_type", "left")
         .join(tenders, "tender_id", "left")
+        .join(accounts, F.expr("tender_account = account_id"), "left")
         .join(merchants, F.expr("gl_prefix = merchant_prefix"), "left")
     )
 

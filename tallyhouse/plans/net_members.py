@@ -46,13 +46,16 @@ def net_member_count(
     """
     stages = stages or StageArea(tables["MemberAgreement"].sparkSession)
     staff = stages.keep(staff_roles(tables), "staff")
-    base = agreements_counted(tables, now, exclusion_report, case_insensitive)
-    invoiced = invoice_of_agreement(tables)
+    base = stages.keep(agreements_counted(tables, now, exclusion_report, case_insensitive), "base")
+    # Every lookup below starts from the agreements that count.
+    counted = base.select("agreement_id").distinct()
+    items = stages.keep(key_items(tables, counted), "items")
+    invoiced = stages.keep(invoice_of_agreement(tables, counted), "invoiced")
     agreements = (
         base.join(invoiced, "agreement_id", "left")
-        .join(first_bill_dates(tables, invoiced), "agreement_id", "left")
-        .join(monthly_dues(tables), "agreement_id", "left")
-        .join(advisors(tables, staff), "agreement_id", "left")
+        .join(first_bill_dates(tables, items, invoiced), "agreement_id", "left")
+        .join(monthly_dues(tables, items), "agreement_id", "left")
+        .join(advisors(tables, counted, staff), "agreement_id", "left")
     )
     agreements = stages.keep(agreements, "agreements")
 
@@ -123,23 +126,30 @@ def cancellation_dates(tables: Mapping[str, DataFrame], now: datetime) -> DataFr
     )
 
 
-def invoice_of_agreement(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Invoice of each agreement's latest invoiced billing request."""
+def key_items(tables: Mapping[str, DataFrame], counted: DataFrame) -> DataFrame:
+    """Key items of the counted agreements."""
+    items = tables["MemberAgreementItem"].filter(col("IsKeyItem") == 1).selectExpr(
+        "MemberAgreementItemId as item_id", "MemberAgreementId as agreement_id",
+    )
+    return restrict_to_keys(items, "agreement_id", counted)
+
+
+def invoice_of_agreement(tables: Mapping[str, DataFrame], counted: DataFrame) -> DataFrame:
+    """Invoice of each counted agreement's latest invoiced billing request."""
+    requests = tables["MemberAgreementInvoiceRequest"].filter(col("Status") == fixed.REQUEST_INVOICED)
     return latest_values(
-        tables["MemberAgreementInvoiceRequest"].filter(col("Status") == fixed.REQUEST_INVOICED),
+        restrict_to_keys(requests, "MemberAgreementId", counted),
         [col("MemberAgreementId").alias("agreement_id")], {"invoice_id": "TxInvoiceId"},
         "MemberAgreementInvoiceRequestId",
     )
 
 
-def first_bill_dates(tables: Mapping[str, DataFrame], invoiced: DataFrame) -> DataFrame:
+def first_bill_dates(tables: Mapping[str, DataFrame], items: DataFrame, invoiced: DataFrame) -> DataFrame:
     """Earliest bill date of an agreement's key items on an invoice other than its own.
 
-    Requests not invoiced yet, and agreements without an invoice, give none.
+    Requests not invoiced yet, and agreements without an invoice, give none. The request items
+    are cut to the key items before they meet the requests.
     """
-    items = tables["MemberAgreementItem"].filter(col("IsKeyItem") == 1).selectExpr(
-        "MemberAgreementItemId as item_id", "MemberAgreementId as agreement_id",
-    )
     billed = tables["MemberAgreementInvoiceRequestItem"].selectExpr(
         "MemberAgreementItemId as item_id", "MemberAgreementInvoiceRequestId as request_id",
     )
@@ -153,7 +163,7 @@ def first_bill_dates(tables: Mapping[str, DataFrame], invoiced: DataFrame) -> Da
         )
     )
     per_invoice = (
-        billed.join(requests, "request_id").join(items, "item_id")
+        billed.join(items, "item_id").join(requests, "request_id")
         .groupBy("agreement_id", "billed_invoice").agg(F.min("billed_at").alias("billed_at"))
     )
     return (
@@ -162,18 +172,16 @@ def first_bill_dates(tables: Mapping[str, DataFrame], invoiced: DataFrame) -> Da
     )
 
 
-def monthly_dues(tables: Mapping[str, DataFrame]) -> DataFrame:
+def monthly_dues(tables: Mapping[str, DataFrame], items: DataFrame) -> DataFrame:
     """Price with the lowest sequence among an agreement's key items; no sequence comes first.
 
     A key item without prices counts as one with neither sequence nor price.
     """
-    items = tables["MemberAgreementItem"].filter(col("IsKeyItem") == 1).selectExpr(
-        "MemberAgreementItemId as item_id", "MemberAgreementId as agreement_id",
-    )
     prices = tables["MemberAgreementItemPerpetual"].selectExpr(
         "MemberAgreementItemId as item_id", "Sequence as sequence", "Price as price",
     )
     # An item's own first price decides, so no item carries more than one into the join.
+    prices = restrict_to_keys(prices, "item_id", items.select("item_id").distinct())
     prices = first_per_key(prices, ["item_id"], ["sequence asc nulls first", "price asc nulls first"])
     order = ["sequence asc nulls first", "item_id desc", "price asc nulls first"]
     first = first_per_key(items.join(prices, "item_id", "left"), ["agreement_id"], order)
@@ -206,11 +214,12 @@ def staff_users(tables: Mapping[str, DataFrame], staff: DataFrame) -> DataFrame:
     return accounts.join(first_per_key(staff, ["party"], _STAFF_ORDER), "party")
 
 
-def advisors(tables: Mapping[str, DataFrame], staff: DataFrame) -> DataFrame:
+def advisors(tables: Mapping[str, DataFrame], counted: DataFrame, staff: DataFrame) -> DataFrame:
     """Employee who is an agreement's first sales adviser; the highest role counts."""
     advising = tables["MemberAgreementSalesAdviser"].filter(col("Sequence") == 1).selectExpr(
         "MemberAgreementId as agreement_id", "PartyRoleId as role_key",
     )
+    advising = restrict_to_keys(advising, "agreement_id", counted)
     first = first_per_key(advising.join(staff, "role_key"), ["agreement_id"], _STAFF_ORDER)
     return first.selectExpr(
         "agreement_id",

@@ -28,8 +28,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", app: str = "tallyhouse", memory: str | None = None) -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(
+    cpus: int | str = "*", app: str = "tallyhouse", memory: str | None = None, shared: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark; ``shared`` is the folder for stages."""
     partitions = str(os.cpu_count() or 8) if cpus == "*" else str(cpus)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -38,6 +40,8 @@ def local_session(cpus: int | str = "*", app: str = "tallyhouse", memory: str |
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if memory:
         builder = builder.config("spark.driver.memory", memory)
     return tune(builder.getOrCreate())

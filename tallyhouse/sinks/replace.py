@@ -1,10 +1,22 @@
-"""Full replacement of a report table, guarded against an empty run."""
+"""Full replacement of a report table, guarded against an empty run and a changed schema."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
+
+from tallyhouse.sinks.stages import remove_folder
+
+
+def schema_difference(report: StructType, table: StructType) -> str:
+    """What differs by column name and type, empty if nothing does; the order does not matter."""
+    ours, theirs = ({field.name: field.dataType.simpleString() for field in schema.fields} for schema in (report, table))
+    return "; ".join(
+        f"{name}: {theirs.get(name, 'missing')} in the table, {ours.get(name, 'missing')} in the report"
+        for name in sorted(ours.keys() | theirs.keys()) if ours.get(name) != theirs.get(name)
+    )
 
 
 def replace_if_nonempty(
@@ -17,19 +29,26 @@ def replace_if_nonempty(
     either all old or all new rows and a lost job changes nothing. Returns whether the
     table was replaced. With ``dry_run`` nothing is written: read ``report`` instead.
 
-    ``transactional`` is for catalogs whose tables support an atomic create-or-replace.
+    A report whose columns differ from the table's in name or type raises ``ValueError`` before
+    anything is written, and the old content stays. ``transactional`` is for catalogs whose
+    tables support an atomic create-or-replace, which changes the schema with the rows.
     """
     if dry_run:
         return False
     spark = report.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists and not transactional and (difference := schema_difference(report.schema, spark.table(table).schema)):
+        raise ValueError(f"{table} keeps its content, since the report has other columns: {difference}")
     fresh = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     report.write.mode("errorifexists").parquet(fresh)
     written = spark.read.schema(report.schema).parquet(fresh)
     if written.isEmpty():
+        remove_folder(spark, fresh)
         return False
     if transactional:
         written.writeTo(table).createOrReplace()
-    elif spark.catalog.tableExists(table):
+        remove_folder(spark, fresh)
+    elif exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
         spark.catalog.refreshTable(table)
     else:

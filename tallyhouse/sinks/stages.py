@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or a temporary one where Spark runs on this machine only."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="tallyhouse-")
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the checkpoint folder set on the context."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+    return folder.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder and all in it, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 class StageArea:
@@ -25,7 +28,11 @@ class StageArea:
 
     A stage survives the loss of executors, cuts the plan's lineage, and has a known
     size, so that later joins broadcast it only when it really is small.
-    Each area has its own folder; nothing is ever overwritten.
+    Each area has its own folder; nothing is ever overwritten. ``close`` removes it, once
+    what was made from the stages is written::
+
+        with StageArea(spark) as stages:
+            ar_aging(tables, now=now, stages=stages).write.parquet(...)
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -44,6 +51,15 @@ class StageArea:
         frame.write.mode("errorifexists").parquet(path)
         return self._spark.read.schema(frame.schema).parquet(path)
 
+    def close(self) -> None:
+        remove_folder(self._spark, self.folder)
+
+    def __enter__(self) -> StageArea:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
 
 class NoStages:
     """Keeps nothing: every stage stays part of one lazy plan."""

@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2000, 1, 1)
 
+EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
+
 # Every column of a line, for a total order.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -107,7 +109,7 @@ def latest_event_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     latest = events.groupBy(col("user_id").alias("c_custkey")).agg(*[
         latest_aggregates({f"last_{kind}": "value"}, "event_id", f"event_type = '{kind}'")[0]
-        for kind in ("click", "view", "purchase")
+        for kind in EVENT_KINDS
     ])
     return _table(spark, sf_dir, "customer").select("c_custkey").join(latest, "c_custkey", "left")
 
@@ -277,14 +279,14 @@ def enrich_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_value_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Highest quantity, and lowest sequence with no sequence first, per supplier."""
     lines = _table(spark, sf_dir, "lineitem").withColumn("sequence", F.expr("nullif(l_linenumber, 7)"))
-    rest = ["l_orderkey", *LINE_ORDER]
-    top = first_per_key(lines, ["l_suppkey"], ["l_quantity desc", *rest]).selectExpr(
-        "l_suppkey", "l_orderkey as top_order", "l_quantity as top_quantity"
-    )
-    low = first_per_key(lines, ["l_suppkey"], ["sequence asc nulls first", *rest]).selectExpr(
-        "l_suppkey", "l_orderkey as low_order", "sequence as low_sequence"
+    rest = ", ".join(["l_orderkey", *LINE_ORDER])
+    # Structs order by their fields, nulls first; the other columns tell lines apart.
+    return lines.groupBy("l_suppkey").agg(
+        F.expr(f"min(struct(-l_quantity as top, {rest})) as t"), F.expr(f"min(struct(sequence, {rest})) as s")
+    ).selectExpr(
+        "l_suppkey", "t.l_orderkey as top_order", "t.l_quantity as top_quantity", "s.l_orderkey as low_order",
+        "s.sequence as low_sequence",
     )
-    return top.join(low, "l_suppkey")
 
 
 def min_date_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:

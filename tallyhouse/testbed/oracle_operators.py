@@ -43,12 +43,10 @@ def operator_oracles() -> dict[str, str]:
                    a.o_orderstatus as addon_status
             from customer left join latest p on p.o_custkey = c_custkey and p.main
             left join latest a on a.o_custkey = c_custkey and not a.main""",
-        "latest_event_lateral": """
-            select c_custkey,
-                   (select case when value >= 1 then value end from events where user_id = c_custkey and event_type = 'click' order by event_id desc limit 1) as last_click,
-                   (select case when value >= 1 then value end from events where user_id = c_custkey and event_type = 'view' order by event_id desc limit 1) as last_view,
-                   (select case when value >= 1 then value end from events where user_id = c_custkey and event_type = 'purchase' order by event_id desc limit 1) as last_purchase
-            from customer""",
+        "latest_event_lateral": "select c_custkey, " + ", ".join(
+            f"(select case when value >= 1 then value end from events where user_id = c_custkey and event_type = '{kind}'"
+            f" order by event_id desc limit 1) as last_{kind}" for kind in ("click", "error", "purchase", "signup", "view")
+        ) + " from customer",
         "unordered_top1": """
             select n_nationkey, c_custkey, c_name, r_name from nation
             left join (select * from customer where c_acctbal > 0 and c_custkey in

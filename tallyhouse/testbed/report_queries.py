@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.plans.ar_aging import ar_aging
 from tallyhouse.plans.daily_payments import daily_batch, daily_pos
 from tallyhouse.plans.endpoints import endpoint_listing
 from tallyhouse.plans.net_members import net_member_count
 from tallyhouse.plans.unmatched import unmatched_payments, unmatched_totals
+from tallyhouse.sinks.replace import replace_if_nonempty
+from tallyhouse.sinks.stages import StageArea, shared_folder
 from tallyhouse.sources.tables import TableSet
 from tallyhouse.testbed.adapter import billing_tables
 
@@ -22,7 +26,34 @@ SINCE = datetime(1998, 1, 1)
 
 
 def _totals(tables: TableSet) -> DataFrame:
-    return unmatched_totals(ar_aging(tables, now=NOW, as_of=AS_OF), unmatched_payments(tables, since=SINCE))
+    return unmatched_totals(tables, unmatched_payments(tables, since=SINCE), as_of=AS_OF)
+
+
+def _replaced(report: Callable[..., DataFrame]) -> Callable[[TableSet], DataFrame]:
+    """A real report written as a table twice, the second time over the first, and read back."""
+    def query(tables: TableSet) -> DataFrame:
+        spark = tables["TxTransaction"].sparkSession
+        root = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}"
+        table = f"tallyhouse_{root.rsplit('-', 1)[1]}"
+        for _ in range(2):
+            with StageArea(spark) as stages:
+                replace_if_nonempty(report(tables, stages), table, root)
+        return spark.table(table)
+
+    return query
+
+
+def _two_databases(tables: TableSet) -> DataFrame:
+    """Payments of one database with the card types of another, read through a catalog."""
+    spark = tables["TxPayment"].sparkSession
+    run = uuid.uuid4().hex[:8]
+    for database, name in ((f"tenant_{run}", "TxPayment"), (f"meta_{run}", "CreditCardType")):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}.db'")
+        tables[name].write.saveAsTable(f"{database}.{name}")
+    both = TableSet.catalog(spark, f"tenant_{run}", {"CreditCardType": f"meta_{run}.CreditCardType"})
+    cards = both["CreditCardType"].selectExpr("CreditCardTypeID as card", "Description as card_name")
+    return both["TxPayment"].join(cards, F.expr("CreditCardTypeId = card"), "left").groupBy("card_name").agg(
+        F.count("*").alias("payments"), F.min("TargetDate").alias("first_date"))
 
 
 REPORTS: dict[str, Callable[[TableSet], DataFrame]] = {
@@ -35,6 +66,9 @@ REPORTS: dict[str, Callable[[TableSet], DataFrame]] = {
     "report_net_members": lambda t: net_member_count(t, now=NOW),
     "report_unmatched": lambda t: unmatched_payments(t, since=SINCE),
     "report_unmatched_totals": _totals,
+    "replace_ar_aging": _replaced(lambda t, stages: ar_aging(t, now=NOW, as_of=AS_OF, stages=stages)),
+    "replace_net_members": _replaced(lambda t, stages: net_member_count(t, now=NOW, stages=stages)),
+    "two_databases": _two_databases,
 }
 
 

@@ -3,7 +3,7 @@ import pytest
 from tallyhouse.plans.endpoints import endpoint_listing
 from tallyhouse.sinks import StageArea, replace_if_nonempty
 from tallyhouse.sinks.stages import shared_folder
-from tallyhouse.sources.schemas import SOURCE_DDL
+from tallyhouse.sources.schemas import SOURCE_DDL, declared
 from tallyhouse.sources.tables import TableSet, repeated_keys
 
 
@@ -57,13 +57,52 @@ def test_a_cluster_needs_a_shared_folder():
         def get(self, key, default=None):
             return self.settings.get(key, default)
 
+    class Context:
+        def __init__(self, folder):
+            self.getCheckpointDir = lambda: folder
+
     class Session:
-        def __init__(self, master):
-            self.conf = Conf(**{"spark.master": master})
+        def __init__(self, folder=None, **settings):
+            self.conf, self.sparkContext = Conf(**settings), Context(folder)
 
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        shared_folder(Session("yarn"))
-    assert shared_folder(Session("local[4]"))
+        shared_folder(Session())
+    assert shared_folder(Session("file:/a/b")) == "file:/a/b"
+    assert shared_folder(Session(**{"spark.checkpoint.dir": "hdfs:/c/"})) == "hdfs:/c"
+
+
+def test_a_run_removes_its_stages(spark):
+    from pathlib import Path
+
+    with StageArea(spark) as area:
+        area.keep(spark.range(3), "numbers")
+        folder = Path(area.folder.removeprefix("file:"))
+        assert folder.exists()
+    assert not folder.exists()
+
+
+@pytest.mark.parametrize("change", ["id, 1 as b", "1 as b", "cast(id as string) as id"])
+def test_a_changed_schema_keeps_the_old_content(spark, tmp_path, change):
+    table, root = "report_schema", str(tmp_path)
+    assert replace_if_nonempty(spark.range(2), table, root)
+    with pytest.raises(ValueError, match="keeps its content"):
+        replace_if_nonempty(spark.range(9).selectExpr(*change.split(", ")), table, root)
+    assert values(spark.table(table)) == [(0,), (1,)]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_zoned_times_do_not_follow_the_session(spark):
+    zoned = spark.sql("select 1 as TxPaymentID, timestamp'2024-01-10 02:00:00+00:00' as TargetDate")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    names = [f.name for f in declared("TxPayment").fields if f.name not in ("TxPaymentID", "TargetDate")]
+    frame = zoned.selectExpr("*", *[f"null as `{name}`" for name in names])
+    try:
+        for session in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            found = [str(TableSet.of({"TxPayment": frame}, zone)["TxPayment"].first().TargetDate) for zone in ("UTC", "Asia/Tokyo")]
+            assert found == ["2024-01-10 02:00:00", "2024-01-10 11:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_tables_conform(spark, tmp_path):
