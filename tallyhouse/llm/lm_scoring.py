@@ -7,11 +7,12 @@ The count of an n-gram is over the whole corpus; a document's own occurrences ar
 Documents are dealt into slices of about ``slice_bytes`` of text by a hash of their row. A slice sends its distinct
 n-grams, sorted, to the count tables, which are partitioned by hash into buckets; a bucket adds up all slices' counts and answers
 each slice in the slice's own order. So an n-gram travels once per slice that has it, not once per occurrence, and frequent
-words, however many documents have them, are one entry per slice. Scores are summed per document in its slice.
+words, however many documents have them, are one entry per slice. Scores are summed per document in its slice. Texts
+and n-grams travel compressed.
 
 Defined results: a null or empty text has no words, score 0 and no mean; a word that no other document has counts as one
 occurrence; repeated rows score alike (each is the other's "other document"); an empty table gives no rows. Only doc_id
-and text are read. Words are compared in lower case (ASCII), n-grams by 64-bit hashes.
+and text are read. Words are compared in lower case (ASCII), n-grams by ``KEY_BITS`` bits of a hash.
 """
 
 from __future__ import annotations
@@ -22,18 +23,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import read, row_key, word_count
-from tallyhouse.llm.words import SPACES, Words, runs_of, window_hashes
+from tallyhouse.llm.packed import pack_numbers, pack_sorted, pack_texts, unpack_numbers, unpack_sorted, unpack_texts
+from tallyhouse.llm.words import SPACES, Words, window_hashes
 
 ORDER = 3
 BACKOFF = 0.4
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+SLICES_PER_BUCKET = 4
+KEY_BITS = 56
 
 
-def _grams(texts: pa.ChunkedArray, order: int) -> tuple[Words, list[np.ndarray]]:
-    """The words of a slice, and per n the hash of the n-gram that starts at each word, over text ends too."""
-    words = Words(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, SPACES, lower=True)
+def _grams(packed: pa.ChunkedArray, order: int) -> tuple[Words, list[np.ndarray]]:
+    """The words of a slice, and per n the key of the n-gram that starts at each word, over text ends too."""
+    words = Words(unpack_texts(packed), SPACES, lower=True)
     hashes = words.hashes()
-    return words, [window_hashes(hashes, n) for n in range(1, order + 1)]
+    return words, [window_hashes(hashes, n) >> np.uint64(64 - KEY_BITS) for n in range(1, order + 1)]
 
 
 def _inside(words: Words, grams: np.ndarray, n: int) -> np.ndarray:
@@ -48,54 +52,46 @@ def _distinct(words: Words, grams: list[np.ndarray]) -> list[tuple[np.ndarray, n
 
 
 def _cuts(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted hashes pass from one bucket (an equal range of hashes) to the next."""
-    edges = [(b << 64) // buckets for b in range(1, buckets)]
+    """Where sorted keys pass from one bucket (an equal range of keys) to the next."""
+    edges = [(b << KEY_BITS) // buckets for b in range(1, buckets)]
     return np.concatenate([[0], np.searchsorted(values, np.array(edges, np.uint64)), [len(values)]])
 
 
 def _send(key: tuple, table: pa.Table, order: int, buckets: int) -> pa.Table:
-    words, grams = _grams(table.column("text"), order)
+    words, grams = _grams(table.column("packed"), order)
     rows = {"slice": [], "bucket": [], "n": [], "grams": [], "counts": []}
     for n, (value, count) in enumerate(_distinct(words, grams), 1):
         cut = _cuts(value, buckets)
         for bucket in np.flatnonzero(np.diff(cut)):
             part = slice(cut[bucket], cut[bucket + 1])
-            for name, item in zip(rows, (key[0].as_py(), int(bucket), n, value[part].view(np.int64), count[part].astype(np.int32)), strict=True):
+            for name, item in zip(rows, (key[0].as_py(), int(bucket), n, pack_sorted(value[part]), pack_numbers(count[part])), strict=True):
                 rows[name].append(item)
-    return pa.table({
-        "slice": pa.array(rows["slice"], pa.int32()), "bucket": pa.array(rows["bucket"], pa.int32()), "n": pa.array(rows["n"], pa.int32()),
-        "grams": _lists(rows["grams"], pa.int64()), "counts": _lists(rows["counts"], pa.int32())})
-
-
-def _lists(items: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    flat = np.concatenate(items) if items else np.zeros(0, kind.to_pandas_dtype())
-    return runs_of(flat, np.array([len(x) for x in items], np.int64), kind)
+    return pa.table([pa.array(rows[name], kind) for name, kind in zip(rows, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                    names=list(rows))
 
 
 def _answer(key: tuple, table: pa.Table) -> pa.Table:
     """Corpus counts of one bucket's n-grams of one length, for each slice that asked."""
-    grams, counts = (table.column(c).combine_chunks() for c in ("grams", "counts"))
-    length = np.diff(grams.offsets.to_numpy())
-    _, entry = np.unique(grams.flatten().to_numpy(), return_inverse=True)
-    total = np.bincount(entry, counts.flatten().to_numpy()).astype(np.int64)
+    grams = [unpack_sorted(packed) for packed in table.column("grams").to_pylist()]
+    counts = np.concatenate([unpack_numbers(packed) for packed in table.column("counts").to_pylist()])
+    _, entry = np.unique(np.concatenate(grams), return_inverse=True)
+    total = np.bincount(entry, counts).astype(np.int64)[entry]
+    ends = np.cumsum([len(g) for g in grams])
+    totals = [pack_numbers(total[end - len(g) : end]) for g, end in zip(grams, ends, strict=True)]
     return pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "n": table.column("n"),
-                     "totals": runs_of(total[entry], length, pa.int64())})
+                     "totals": pa.array(totals, pa.binary())})
 
 
 def _score(key: tuple, docs: pa.Table, answers: pa.Table, order: int, backoff: float, corpus: int) -> pa.Table:
-    words, grams = _grams(docs.column("text"), order)
+    words, grams = _grams(docs.column("packed"), order)
     row, counts = words.rows(), words.counts
     position = np.arange(len(words)) - np.repeat(words.first[:-1], counts)
-    sorting = np.lexsort((answers.column("bucket").to_numpy(), answers.column("n").to_numpy()))
-    answers = answers.take(pa.array(sorting))
-    of_n, totals = answers.column("n").to_numpy(), answers.column("totals").combine_chunks()
-    starts = totals.offsets.to_numpy()
-    flat = totals.flatten().to_numpy()
+    asked = sorted(zip(*(answers.column(c).to_pylist() for c in ("n", "bucket", "totals")), strict=True))
     # others[n - 1][i]: how often other documents have the n-gram that starts at word i (0 where it leaves the text).
     others = []
     for n, (value, _) in enumerate(_distinct(words, grams), 1):
-        low, high = np.searchsorted(of_n, n), np.searchsorted(of_n, n, "right")
-        total = flat[starts[low] - starts[0] : starts[high] - starts[0]]
+        found_of_n = [unpack_numbers(packed) for length, _, packed in asked if length == n]
+        total = np.concatenate([np.zeros(0, np.uint64), *found_of_n]).astype(np.int64)
         inside = np.flatnonzero(_inside(words, grams[n - 1], n))
         entry = np.searchsorted(value, grams[n - 1][inside])
         _, pair, own = np.unique(row[inside] * max(1, len(value)) + entry, return_inverse=True, return_counts=True)
@@ -119,11 +115,12 @@ def score(documents: DataFrame, order: int = ORDER, backoff: float = BACKOFF, sl
     rows = row_key(documents)
     size, words = rows.agg(F.sum(F.octet_length("text")), F.sum(word_count(F.col("text")))).first()
     parts = max(1, -(-(size or 0) // slice_bytes))
-    sliced = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                         F.pmod(F.xxhash64("dk", "th"), F.lit(parts)).cast("int").alias("slice"))
+    buckets = max(1, parts // SLICES_PER_BUCKET)
+    sliced = rows.select("doc_id", F.pmod(F.xxhash64("dk", "th"), F.lit(parts)).cast("int").alias("slice"), "text").mapInArrow(
+        pack_texts, "doc_id long, slice int, packed binary")
     sent = sliced.groupBy("slice").applyInArrow(
-        _sender(order, parts), "slice int, bucket int, n int, grams array<long>, counts array<int>")
-    answers = sent.groupBy("bucket", "n").applyInArrow(_answer, "slice int, bucket int, n int, totals array<long>")
+        _sender(order, buckets), "slice int, bucket int, n int, grams binary, counts binary")
+    answers = sent.groupBy("bucket", "n").applyInArrow(_answer, "slice int, bucket int, n int, totals binary")
     scored = sliced.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
         _scorer(order, backoff, int(words or 0)), "doc_id long, n_words long, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

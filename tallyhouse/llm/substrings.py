@@ -23,11 +23,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import read, row_key
+from tallyhouse.llm.packed import pack_texts, unpack_texts
 from tallyhouse.llm.words import SLICE_BYTES, Words, as_long, inside_text, slices, window_hashes
 
 WINDOW = 13
@@ -47,20 +47,9 @@ def _anchors(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray,
     return starts, place, grams
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = batch.column("text").cast(pa.large_binary())
-        packed = pa.array([None if t.as_py() is None else packer.compress(t.as_py()) for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("dk"), batch.column("th"), packed],
-                                         ["doc_id", "dk", "th", "packed"])
-
-
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    unpacker = zstandard.ZstdDecompressor()
     for part in slices(batches, "packed", SLICE_BYTES // 3):
-        texts = [b"" if t is None else unpacker.decompress(t) for t in part.column("packed").to_pylist()]
-        yield part, Words(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        yield part, Words(unpack_texts(part.column("packed")))
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -140,7 +129,7 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     ``kept`` is the text left, its words joined by one space, or the SHA-256 of it where ``texts`` is false.
     """
     keyed = row_key(documents)
-    rows = keyed.mapInArrow(_pack, "doc_id long, dk long, th long, packed binary")
+    rows = keyed.mapInArrow(pack_texts, "doc_id long, dk long, th long, packed binary")
     # A later copy of a text holds nothing new: all its windows start in the first one.
     sized = keyed.select("dk", "th", F.octet_length("text").alias("size"))
     firsts = sized.groupBy("th", "size").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
