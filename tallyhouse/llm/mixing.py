@@ -9,8 +9,8 @@
 4. A slot number is a pass and a place in it; a permutation of the source's block numbers per pass (swap-or-not rounds, which
    permute any number of blocks without a table) turns the place into a block, and blocks join slots by number.
 
-Work is spread by blocks and slots, not by source: a source with a third of all rows is laid out in buckets of
-documents whose sizes are added up first, and its slots are made from many short ranges.
+Work is spread by blocks and slots, not by source: a source with a third of all rows is laid out in about as many buckets
+of documents as a bucket has documents, whose sizes are added up first, and its slots are made from many short ranges.
 
 Defined results: a null or empty text has no words and takes none; repeated rows are documents of their own; null is a
 source; an empty table gives no rows. Only doc_id, text and the source column are read. The same rows give the same
@@ -19,16 +19,17 @@ mix, in any order and partitioning.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import WORD, read, row_key, word_count
+from tallyhouse.llm.common import WORD, Stages, read, row_key, shuffle_partitions, word_count
 
 BLOCK_WORDS = 32
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-BUCKET_ROWS = 50_000
 SHARD_SLOTS = 4096
 SEED = 17
 ROUNDS = 12
@@ -45,8 +46,10 @@ def layout(documents: DataFrame, source: str = "source", carry: tuple[str, ...]
     """Each document's place among the words of its source: doc_id, dk, th, sk (source), size, start."""
     rows = row_key(documents, source, *carry).select(
         "doc_id", "dk", "th", _source_key(source).alias("sk"), word_count(F.col("text")).alias("size"), *carry)
-    buckets = max(1, -(-documents.count() // BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("dk", "th"), F.lit(buckets)))
+    # An odd number near the root of the rows: buckets are small, and so is the list of them.
+    buckets = 2 * (math.isqrt(documents.count()) // 2) + 1
+    spread = F.when(F.col("doc_id").isNull(), F.col("th")).otherwise(F.col("dk"))
+    rows = rows.withColumn("bucket", F.pmod(spread, F.lit(buckets)))
     before = Window.partitionBy("sk").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("sk", "bucket").agg(F.sum("size").alias("words")).select(
         "sk", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
@@ -92,8 +95,9 @@ def shard_counts(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int =
     total = sources.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, -(-total // shard_slots))
     # Short ranges first, dealt out evenly, then their slots: no task makes all slots of a large source.
+    tasks = shuffle_partitions(sources.sparkSession)
     parts = sources.select("sk", "slots", F.explode(_ranges(F.ceil(F.col("slots") / F.lit(_RANGE)))).alias("part")).repartition(
-        "sk", "part")
+        tasks, "sk", "part")
     draws = parts.select("sk", F.explode(_ranges(F.least(F.lit(_RANGE), F.col("slots") - F.col("part") * _RANGE))).alias("i"), "part")
     drawn = draws.select("sk", F.pmod(F.xxhash64(F.lit(seed), "sk", F.col("part") * _RANGE + F.col("i")), F.lit(shards)).alias("shard"))
     earlier = Window.partitionBy("sk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,6 +126,7 @@ def slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED)
     counts = shard_counts(sources, shard_slots, seed)
     passes = sources.select("sk", "blocks", F.explode(_ranges(F.ceil(F.col("slots") / F.col("blocks")))).alias("pass")).filter(
         "blocks > 0").withColumns({"turn": _keys("t", seed), "factor": _keys("f", seed), "shift": _keys("s", seed)})
+    counts = counts.repartition(shuffle_partitions(sources.sparkSession), "sk", "shard")
     numbers = counts.select("sk", "shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("count") - 1)).alias("slot"))
     numbers = numbers.join(sources.select("sk", "blocks"), "sk").withColumn("pass", F.floor(F.col("slot") / F.col("blocks"))).drop("blocks")
     return numbers.join(passes, ["sk", "pass"]).select(
@@ -141,7 +146,7 @@ def pieces(placed: DataFrame, block_words: int, *carry: str) -> DataFrame:
 
 def mix(documents: DataFrame, source: str = "source", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken (words that the mix takes of it)."""
-    placed = layout(documents, source)
+    placed = Stages(documents.sparkSession).keep(layout(documents, source))
     sources = targets(placed, block_words)
     times = slots(sources, seed=seed).groupBy("sk", "block").agg(F.count("*").alias("times"))
     parts = pieces(placed, block_words, "doc_id").join(times, ["sk", "block"], "left")
@@ -158,7 +163,7 @@ def mixed_documents(documents: DataFrame, source: str = "source", block_words: i
     """
     rest = [c for c in documents.columns if c not in ("doc_id", "text")]
     given = documents.withColumn("__rest", F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("__none")))
-    placed = layout(given, source, ("__rest",))
+    placed = Stages(documents.sparkSession).keep(layout(given, source, ("__rest",)))
     sources = targets(placed, block_words)
     taken = pieces(placed, block_words, "doc_id", "__rest").join(slots(sources, seed=seed), ["sk", "block"])
     # The row itself is found again by its place, which is its own.
@@ -196,7 +201,8 @@ OP8_SQL = f"""
 with docs as (
   select doc_id, coalesce('=' || source, '~') as sk, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size from documents
 ), placed as (
-  select *, coalesce(sum(size) over (partition by sk order by doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  select *, coalesce(sum(size) over (partition by sk
+      order by doc_id % (2 * (floor(sqrt((select count(*) from docs)))::bigint // 2) + 1), doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as start
   from docs
 ), weighed as (
   select sk, sum(size)::bigint as source_size, [3, 1, 2][((row_number() over (order by sk)) - 1) % 3 + 1] as weight from docs group by sk
