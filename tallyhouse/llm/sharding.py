@@ -11,6 +11,7 @@ get slots of their own; an empty table gives no rows. Only doc_id and text are r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -23,7 +24,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tallyhouse.llm.common import read
 
 SHARDS = 16
-BUCKET_ROWS = 50_000
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -61,7 +61,7 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"))
     rows = shard_of(rows, "doc_id", (shards, shards + 1))
-    buckets = max(1, -(-documents.count() // (BUCKET_ROWS * shards)))
+    buckets = max(1, math.isqrt(documents.count() // shards))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("__hash", "text_crc32", "size"), F.lit(buckets)))
     shard = F.col(f"__shard{shards}")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
