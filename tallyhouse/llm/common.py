@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.sinks.stages import shared_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 LAST_ID = 2**63 - 1
@@ -40,18 +42,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; set ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return folder.rstrip("/")
-
-
 class Stages:
     """Tables of one run in the shared folder: they cut the plan and survive the loss of executors.
 
-    ``keep`` writes a frame and returns a scan of it; ``drop`` removes a table that nothing reads any more.
+    ``keep`` writes a frame and returns a scan of it. Each run has a folder of its own, to be removed with the folder's retention.
     """
 
     def __init__(self, spark: SparkSession):
