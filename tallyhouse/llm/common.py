@@ -33,6 +33,20 @@ def row_key(frame: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def keyed(documents: DataFrame) -> tuple[DataFrame, str, str]:
+    """The documents with the key of each row in two more columns, and the names of these."""
+    dk, th = unused(documents, "__dk"), unused(documents, "__th")
+    return documents.withColumns({dk: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), th: F.xxhash64("text")}), dk, th
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once, however often the body uses it, also inside lambdas."""
     return F.transform(F.array(value), body)[0]

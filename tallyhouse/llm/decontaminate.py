@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import read, row_key
+from tallyhouse.llm.common import keyed, read, row_key
 from tallyhouse.llm.words import NOT_ALNUM, Words, inside_text, runs_of, slices
 
 WINDOW = 13
@@ -215,10 +215,10 @@ def _matches(batches: Iterator[pa.RecordBatch], tests) -> Iterator[pa.RecordBatc
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = 0.05) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
+    frame, dk, th = keyed(documents)
     bad = contamination(documents, benchmark, window, share).filter("contaminated").select(
-        F.col("dk").alias("__dk"), F.col("th").alias("__th")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    return documents.join(bad, (key == F.col("__dk")) & (F.xxhash64("text") == F.col("__th")), "left_anti")
+        F.col("dk").alias(dk), F.col("th").alias(th)).distinct()
+    return frame.join(bad, [dk, th], "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import tables
-from tallyhouse.llm.common import LAST_ID, Stages, read, row_key
+from tallyhouse.llm.common import LAST_ID, Stages, keyed, read, row_key
 from tallyhouse.llm.components import components
 from tallyhouse.llm.words import SPACES, Words, as_long, inside_text, mixed, runs_of, slices, window_hashes
 
@@ -223,13 +223,12 @@ def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT)
     without words all stay. Of rows alike in doc_id and text but not in other columns, any one stays.
     """
     found = near_duplicates(documents, size, percent)
+    frame, dk, th = keyed(documents)
     chosen = found.filter("n_shingles > 0").groupBy(F.coalesce("component_id", F.lit(LAST_ID)).alias("component")).agg(
-        F.min(F.struct("dk", "th")).alias("row")).select(F.col("row.dk").alias("__dk"), F.col("row.th").alias("__th"))
-    empty = found.filter("n_shingles = 0").select(F.col("dk").alias("__dk"), F.col("th").alias("__th")).distinct()
-    keyed = documents.withColumns({
-        "__dk": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__th": F.xxhash64("text")})
-    kept = keyed.join(chosen, ["__dk", "__th"], "left_semi").dropDuplicates(["__dk", "__th"])
-    return kept.unionByName(keyed.join(empty, ["__dk", "__th"], "left_semi")).select(*[F.col(f"`{c}`") for c in documents.columns])
+        F.min(F.struct("dk", "th")).alias("row")).select(F.col("row.dk").alias(dk), F.col("row.th").alias(th))
+    empty = found.filter("n_shingles = 0").select(F.col("dk").alias(dk), F.col("th").alias(th)).distinct()
+    kept = frame.join(chosen, [dk, th], "left_semi").dropDuplicates([dk, th])
+    return kept.unionByName(frame.join(empty, [dk, th], "left_semi")).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import LAST_ID, WHITE, WORD, let, read, row_key, word_count
+from tallyhouse.llm.common import LAST_ID, WHITE, WORD, keyed, let, read, row_key, unused, word_count
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -134,14 +134,14 @@ def judge(documents: DataFrame, host: str = "source", min_documents: int = MIN_D
 
 def without_rejected(documents: DataFrame, host: str = "source") -> DataFrame:
     """The documents that are kept, with all their columns, without their common lines; ``n_chars`` follows the text."""
+    frame, dk, th = keyed(documents)
+    gone = unused(documents, "__common")
     verdict = judge(documents, host).filter("kept").select(
-        F.col("dk").alias("__dk"), F.col("th").alias("__th"), F.col("common").alias("__common")).dropDuplicates(["__dk", "__th"])
-    keyed = documents.withColumns({
-        "__dk": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__th": F.xxhash64("text")})
+        F.col("dk").alias(dk), F.col("th").alias(th), F.col("common").alias(gone)).dropDuplicates([dk, th])
     stay = F.filter(F.split("text", "\n", -1), lambda line: ~(
-        (F.length(F.translate(line, WHITE, "")) > 0) & F.array_contains(F.col("__common"), line_hash(line))))
-    joined = keyed.join(verdict, ["__dk", "__th"])
-    changed = joined.withColumn("text", F.when(F.size("__common") > 0, F.array_join(stay, "\n")).otherwise(F.col("text")))
+        (F.length(F.translate(line, WHITE, "")) > 0) & F.array_contains(F.col(gone), line_hash(line))))
+    joined = frame.join(verdict, [dk, th])
+    changed = joined.withColumn("text", F.when(F.size(gone) > 0, F.array_join(stay, "\n")).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return changed.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -42,13 +42,13 @@ def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
 
 def _assign(batches: Iterator[pa.RecordBatch], counts: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = batch.column("__hash").to_numpy(zero_copy_only=False).view(np.uint64)
+        keys = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64)
         found = [pa.array(jump_hash(keys, n), pa.int32()) for n in counts]
         yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *[f"__shard{n}" for n in counts]])
 
 
 def shard_of(frame: DataFrame, key: str, counts: tuple[int, ...]) -> DataFrame:
-    """``frame`` with the key's hash and a column ``__shard<n>`` for each number of shards."""
+    """``frame`` with the key's hash, ``__hash``, and a column ``__shard<n>`` for each number of shards."""
     hashed = frame.withColumn("__hash", F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("~null"))))
     schema = StructType([*hashed.schema.fields, *[StructField(f"__shard{n}", IntegerType()) for n in counts]])
     return hashed.mapInArrow(partial(_assign, counts=counts), schema)
@@ -82,8 +82,11 @@ def write_shards(documents: DataFrame, path: str, shards: int = SHARDS) -> None:
 
 def with_shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard; a column of that name is replaced."""
-    placed = shard_of(documents.drop("shard"), "doc_id", (shards,))
-    return placed.withColumnRenamed(f"__shard{shards}", "shard").drop("__hash")
+    kept = documents.drop("shard")
+    # Under plain names while the shards are found, so that no name of the documents is in the way.
+    plain = kept.select(*[F.col(f"`{c}`").alias("doc_id" if c == "doc_id" else f"c{i}") for i, c in enumerate(kept.columns)])
+    placed = shard_of(plain, "doc_id", (shards,)).drop("__hash")
+    return placed.toDF(*kept.columns, "shard")
 
 
 def op2_sharding(spark, sf_dir: str) -> DataFrame:
