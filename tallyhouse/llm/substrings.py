@@ -8,7 +8,7 @@ windows that an earlier document has.
 
 Only windows that can be in another document are looked up. Of each window the four-word gram with the
 smallest hash is its anchor, so two equal windows have the same anchor; windows whose anchor occurs in one document
-alone are skipped. Copies of a whole text are told by its hash and need no lookup. Texts are shuffled once, compressed.
+alone are skipped. Copies of a whole text are told by its hash and need no lookup. Texts are shuffled once.
 
 Defined results: a null or empty text has no words; a document with fewer words than the window loses none; the
 windows of a document repeated within it do not count; repeated rows give one row each; a null doc_id counts as the last id.
@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import read, row_key
-from tallyhouse.llm.packed import pack_texts, unpack_texts
-from tallyhouse.llm.words import SLICE_BYTES, Words, as_long, inside_text, slices, window_hashes
+from tallyhouse.llm.words import Words, as_long, inside_text, slices, window_hashes
 
 WINDOW = 13
 GRAM = 4
@@ -47,14 +46,14 @@ def _anchors(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray,
     return starts, place, grams
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    for part in slices(batches, "packed", SLICE_BYTES // 3):
-        yield part, Words(unpack_texts(part.column("packed")))
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    for part in slices(batches):
+        yield part, Words(part.column("text"))
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """The distinct anchors of each document."""
-    for part, words in _unpacked(batches):
+    for part, words in _cut(batches):
         starts, place, grams = _anchors(words, words.hashes(), window)
         place = np.unique(place)
         row = np.searchsorted(words.first, place, "right") - 1
@@ -68,7 +67,7 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
 
 def _emit_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Windows whose anchor is in ``anchors``: hash, document, first word."""
-    for part, words in _unpacked(batches):
+    for part, words in _cut(batches):
         hashes = words.hashes()
         starts, place, grams = _anchors(words, hashes, window)
         lists = part.column("anchors")
@@ -98,7 +97,7 @@ def _pairs_in(row: np.ndarray, value: np.ndarray, owner: np.ndarray, shared: np.
 
 def _clean(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iterator[pa.RecordBatch]:
     """Per document its factors (first word, number of words) and what is left of its text."""
-    for part, words in _unpacked(batches):
+    for part, words in _cut(batches):
         copy = part.column("copy").to_numpy(zero_copy_only=False)
         found = part.column("words").to_pylist()
         left, removed, factors, counts = [], [], [], words.counts
@@ -128,15 +127,14 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
 
     ``kept`` is the text left, its words joined by one space, or the SHA-256 of it where ``texts`` is false.
     """
-    keyed = row_key(documents)
-    rows = keyed.mapInArrow(pack_texts, "doc_id long, dk long, th long, packed binary")
+    rows = row_key(documents)
     # A later copy of a text holds nothing new: all its windows start in the first one.
-    sized = keyed.select("dk", "th", F.octet_length("text").alias("size"))
+    sized = rows.select("dk", "th", F.octet_length("text").alias("size"))
     firsts = sized.groupBy("th", "size").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
     copies = sized.join(firsts, ["th", "size"]).filter("dk > first").groupBy("dk").agg(F.collect_set("th").alias("copies"))
     # Every join below is on dk, so the texts are dealt out once. Facts of a dk name their text by ``th``.
     texts_of = rows.join(copies, "dk", "left").withColumn("copy", F.coalesce(F.array_contains("copies", F.col("th")), F.lit(False)))
-    once = texts_of.filter("not copy").select("dk", "th", "packed")
+    once = texts_of.filter("not copy").select("dk", "th", "text")
     anchors = once.mapInArrow(partial(_emit_anchors, window=window), "anchor long, dk long")
     common = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     shared = anchors.join(common, "anchor", "left_semi").groupBy("dk").agg(F.collect_set("anchor").alias("anchors"))
@@ -148,7 +146,7 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     own = F.transform(F.filter("found", lambda f: f["th"] == F.col("th")), lambda f: f["word"])
     schema = ("doc_id long, dk long, th long, n_words long, n_removed long, "
               "factors array<struct<word: long, n_words: long>>, kept string")
-    return texts_of.join(found, "dk", "left").select("doc_id", "dk", "th", "packed", "copy", own.alias("words")).mapInArrow(
+    return texts_of.join(found, "dk", "left").select("doc_id", "dk", "th", "text", "copy", own.alias("words")).mapInArrow(
         partial(_clean, window=window, texts=texts), schema)
 
 
