@@ -3,11 +3,12 @@
 A zstandard dictionary is trained for each label from a bounded sample of pieces of labelled texts. Every whole text is
 compressed with both. The difference of the compressed sizes per byte, with the size per byte under the good dictionary
 (text that repeats itself shrinks under either), is turned into a probability by a logistic curve fitted to other labelled
-rows. Labels are learned only from rows whose CRC-32 of doc_id mod 3 is not 1: remainder 0 for the dictionaries,
-remainder 2 for the curve. Documents are scored where they lie; nothing is shuffled.
+rows. Labels are learned only from rows whose CRC-32 of doc_id mod 3 is not 1. The curve is fitted crosswise: rows of
+remainder 2 under dictionaries of remainder 0 and the other way round; the dictionaries that score hold both parts.
+Documents are scored where they lie; nothing is shuffled.
 
-Bounds, all parameters: ``dictionary_rows`` labelled rows and ``dictionary_pieces`` pieces per label, ``dictionary_bytes`` per
-dictionary, ``curve_rows`` rows for the curve. Rows and pieces are chosen by hash, so reruns agree.
+Bounds, all parameters: ``dictionary_rows`` labelled rows and ``dictionary_pieces`` pieces per label and part,
+``dictionary_bytes`` per dictionary, ``curve_rows`` rows per part for the curve. Rows and pieces are chosen by hash, so reruns agree.
 
 Defined results: a null or empty text is scored as text that compresses to nothing; a null doc_id is not held out
 and never learned from; repeated rows are scored alike; without labelled rows of both kinds the score is the share of
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -28,10 +30,11 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import read
 
 PIECE = 2000
-DICTIONARY_BYTES = 112 << 10
+DICTIONARY_BYTES = 256 << 10
 DICTIONARY_ROWS = 8000
 DICTIONARY_PIECES = 4000
 CURVE_ROWS = 20_000
+PARTS = (0, 2)  # remainders that may be learned from
 LEVEL = 3
 _FRAME = 12  # bytes of a frame that do not depend on the text
 
@@ -107,18 +110,24 @@ def fit_curve(points: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,
           dictionary_rows: int = DICTIONARY_ROWS, dictionary_pieces: int = DICTIONARY_PIECES, curve_rows: int = CURVE_ROWS):
     """(broadcast dictionaries of bad and good text, weights of the curve)."""
-    samples = _labelled(documents, labels, 0, dictionary_rows).filter("text != ''").select("quality", F.explode(F.transform(
-        F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE)),
-        lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)))).alias("piece")).distinct()
-    order = F.xxhash64("piece")
-    pieces = [[row.piece for row in samples.filter(F.col("quality") == label).orderBy(order, "piece").limit(dictionary_pieces).collect()]
-              for label in (0, 1)]
-    context = documents.sparkSession.sparkContext
-    dictionaries = context.broadcast(tuple(_dictionary(p, dictionary_bytes) for p in pieces))
-    points = _labelled(documents, labels, 2, curve_rows).select("text", "quality").mapInArrow(
-        partial(_features, dictionaries=dictionaries, keep=["quality"]), "quality int, difference double, size double")
-    rows = points.orderBy(F.xxhash64("difference", "size"), "quality").limit(2 * curve_rows).toPandas()
+    context, order = documents.sparkSession.sparkContext, F.xxhash64("piece")
+    pieces: dict[int, list[list[str]]] = {}
+    for part in PARTS:
+        samples = _labelled(documents, labels, part, dictionary_rows).filter("text != ''").select("quality", F.explode(F.transform(
+            F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE)),
+            lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)))).alias("piece")).distinct()
+        pieces[part] = [[row.piece for row in samples.filter(F.col("quality") == label).orderBy(order, "piece").limit(
+            dictionary_pieces).collect()] for label in (0, 1)]
+    points = []
+    for part, other in zip(PARTS, reversed(PARTS), strict=True):
+        theirs = context.broadcast(tuple(_dictionary(p, dictionary_bytes) for p in pieces[other]))
+        found = _labelled(documents, labels, part, curve_rows).select("text", "quality").mapInArrow(
+            partial(_features, dictionaries=theirs, keep=["quality"]), "quality int, difference double, size double")
+        points.append(found.orderBy(F.xxhash64("difference", "size"), "quality").limit(2 * curve_rows).toPandas())
+    rows = pd.concat(points)
     weights = fit_curve(rows[["difference", "size"]].to_numpy(float), rows["quality"].to_numpy(float))
+    dictionaries = context.broadcast(tuple(
+        _dictionary(first + second, dictionary_bytes) for first, second in zip(*pieces.values(), strict=True)))
     return dictionaries, weights
 
 
