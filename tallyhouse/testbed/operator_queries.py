@@ -51,8 +51,7 @@ def _ledger(lines: DataFrame) -> DataFrame:
 
 def open_invoice_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = _ledger(_table(spark, sf_dir, "lineitem"))
-    balances = nonzero_sum(ledger, ["l_orderkey"], credit_positive(col("credit"), col("quantity")), "balance")
-    return balances.withColumn("balance", col("balance").cast("double"))
+    return nonzero_sum(ledger, ["l_orderkey"], credit_positive(col("credit"), col("quantity")), "balance")
 
 
 def ar_aging_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +73,9 @@ def ar_aging_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, F.expr("c_nationkey = n_nationkey"))
     )
     names = ["current", "days_31_60", "days_61_90", "days_91_120", "days_121_up"]
-    sums = [F.expr(f"cast(sum({sql}) as double) as {name}")
+    sums = [F.expr(f"sum({sql}) as {name}")
             for sql, name in zip(aging_buckets("age", "due", AGING_EDGES), names, strict=True)]
-    return aged.groupBy("n_name").agg(*sums, F.expr("cast(sum(due) as double) as total_due"))
+    return aged.groupBy("n_name").agg(*sums, F.expr("sum(due) as total_due"))
 
 
 def first_sale_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +211,7 @@ def sum_times_multiplicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linenumber", "cast(l_quantity as decimal(19,4)) as quantity"
     )
     return lines.groupBy("l_returnflag", "l_linenumber", "quantity").agg(F.sum("quantity").alias("total")).selectExpr(
-        "l_returnflag", "l_linenumber", "cast(quantity as double) as quantity", "cast(total as double) as total"
+        "l_returnflag", "l_linenumber", "quantity", "total"
     )
 
 
@@ -220,7 +219,7 @@ def computed_group_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").withColumn("ordered_on", as_text(day(col("o_orderdate"))))
     late = iif(col("o_orderstatus") == "F", "done", "open")
     return orders.groupBy("ordered_on", late.alias("state")).agg(
-        F.count("*").alias("orders"), F.expr("cast(sum(cast(o_totalprice as decimal(19,4))) as double) as price")
+        F.count("*").alias("orders"), F.expr("sum(cast(o_totalprice as decimal(19,4))) as price")
     )
 
 
@@ -332,14 +331,14 @@ def typed_insert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey as part_id", "p_name as title", "p_size as size",
         "cast(p_retailprice as decimal(19,4)) * cast(0.0125 as decimal(19,4)) as monthly",
     )
-    return typed_insert(rows, schema).withColumn("monthly", col("monthly").cast("double"))
+    return typed_insert(rows, schema)
 
 
 def replace_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report table replaced, then left alone by an empty run and by a dry run."""
     area = StageArea(spark)
     totals = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.count("*").alias("orders"), F.expr("cast(sum(cast(o_totalprice as decimal(19,4))) as double) as price")
+        F.count("*").alias("orders"), F.expr("sum(cast(o_totalprice as decimal(19,4))) as price")
     )
     table = f"tallyhouse_report_{area.folder.rsplit('-', 1)[1]}"
     replace_if_nonempty(totals.limit(0), table, area.folder)
@@ -358,7 +357,7 @@ def stage_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = restrict_to_keys(_table(spark, sf_dir, "orders"), "o_orderkey", kept.select("l_orderkey"))
     return orders.join(kept, F.expr("o_orderkey = l_orderkey")).groupBy("o_orderstatus").agg(
-        F.count("*").alias("orders"), F.expr("cast(sum(due) as double) as due")
+        F.count("*").alias("orders"), F.expr("sum(due) as due")
     )
 
 
