@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import read, row_key
+from tallyhouse.llm.common import LAST_ID, read, row_key
 from tallyhouse.llm.words import Words, as_long, inside_text, slices, window_hashes
 
 WINDOW = 13
@@ -114,12 +114,12 @@ def _clean(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Itera
             factors.append([{"word": int(begin[a]), "n_words": int(begin[b] - begin[a]) + window}
                             for a, b in zip(head, tail, strict=True)] if len(begin) else [])
             left.append(words.text(row, keep))
-        out = [part.column("doc_id"), part.column("dk"), part.column("th"), pa.array(counts, pa.int64()),
+        out = [part.column("dk"), part.column("th"), pa.array(counts, pa.int64()),
                pa.array(removed, pa.int64()),
                pa.array(factors, pa.list_(pa.struct([("word", pa.int64()), ("n_words", pa.int64())])))]
         last = [x.decode() for x in left] if texts else [hashlib.sha256(x).hexdigest() for x in left]
         yield pa.RecordBatch.from_arrays([*out, pa.array(last, pa.string())],
-                                         ["doc_id", "dk", "th", "n_words", "n_removed", "factors", "kept"])
+                                         ["dk", "th", "n_words", "n_removed", "factors", "kept"])
 
 
 def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
@@ -127,7 +127,8 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
 
     ``kept`` is the text left, its words joined by one space, or the SHA-256 of it where ``texts`` is false.
     """
-    rows = row_key(documents)
+    # The same three columns everywhere, so that one exchange of the texts serves all joins.
+    rows = row_key(documents).select("dk", "th", "text")
     # A later copy of a text holds nothing new: all its windows start in the first one.
     sized = rows.select("dk", "th", F.octet_length("text").alias("size"))
     firsts = sized.groupBy("th", "size").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
@@ -144,10 +145,11 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     found = windows.join(earliest, "window").filter("dk > first").groupBy("dk").agg(
         F.collect_set(F.struct("th", "word")).alias("found"))
     own = F.transform(F.filter("found", lambda f: f["th"] == F.col("th")), lambda f: f["word"])
-    schema = ("doc_id long, dk long, th long, n_words long, n_removed long, "
+    schema = ("dk long, th long, n_words long, n_removed long, "
               "factors array<struct<word: long, n_words: long>>, kept string")
-    return texts_of.join(found, "dk", "left").select("doc_id", "dk", "th", "text", "copy", own.alias("words")).mapInArrow(
+    cleaned = texts_of.join(found, "dk", "left").select("dk", "th", "text", "copy", own.alias("words")).mapInArrow(
         partial(_clean, window=window, texts=texts), schema)
+    return cleaned.select(F.nullif("dk", F.lit(LAST_ID)).alias("doc_id"), "*")
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
