@@ -3,8 +3,8 @@
 Lines are compared in lower case with white space reduced to single spaces. Per host (``host`` column, null is a host of
 its own) a line is common when more than ``min_documents`` documents and more than ``max_share`` of the host's documents
 have it; documents with the same text count once. Common lines are removed. A document is rejected when a base rule fails
-(fewer than 20 words, or more than 30 % of them in repeated 8-word windows) or when it is depleted: fewer than ``least_left``
-of its words, or fewer than 20, are left.
+(fewer than 20 words, or more than 30 % of them in repeated 8-word windows) or when it is depleted: less than ``least_left``
+of its words are left.
 
 Counts are combined before they are shuffled, so a line in a third of all documents is one counter; only
 lines that are common are joined back.
@@ -127,7 +127,7 @@ def judge(documents: DataFrame, host: str = "source", min_documents: int = MIN_D
         .withColumn("n_removed", F.coalesce("gone", F.lit(0)).cast("long"))
         .withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (left >= MIN_WORDS) & (left >= F.lit(least_left) * F.col("n_words")))
+        .withColumn("kept", ~failed & (left >= F.lit(least_left) * F.col("n_words")))
         .drop("gone")
     )
 
@@ -179,5 +179,5 @@ common as (
     coalesce(gone.n, 0)::bigint as n_removed
   from cut left join repeats using (doc_id) left join gone using (doc_id)
 ), failed as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from base)
-select *, not base_failed and n_words - n_removed >= 20 and n_words - n_removed >= 0.5 * n_words as kept from failed
+select *, not base_failed and n_words - n_removed >= 0.5 * n_words as kept from failed
 """
