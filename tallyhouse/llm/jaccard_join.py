@@ -164,7 +164,10 @@ def _sided(frame: DataFrame, side: str) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
                     table_bits: int = TABLE_BITS) -> DataFrame:
-    """Per document: doc_id, dk, th, n_shingles, class (equal sets), component_id (smallest doc_id of the component)."""
+    """Per document: doc_id, dk, th, n_shingles, class (equal sets), root, component_id (smallest doc_id of the component).
+
+    ``root`` is the smallest class of the component and names it also where ids are null or repeated; it is null without shingles.
+    """
     spark = documents.sparkSession
     stages = Stages(spark)
     rows = row_key(documents)
@@ -210,9 +213,9 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     least = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left") \
         .select("class", "dk", F.coalesce("root", "class").alias("root"))
     smallest = least.groupBy("root").agg(F.min("dk").alias("component"))
-    named = least.join(smallest, "root").select("class", "component")
+    named = least.join(smallest, "root").select("class", "root", "component")
     return profiles.select("doc_id", "dk", "th", "n", "class").join(named, "class", "left").select(
-        "doc_id", "dk", "th", F.col("n").cast("long").alias("n_shingles"), "class",
+        "doc_id", "dk", "th", F.col("n").cast("long").alias("n_shingles"), "class", "root",
         F.nullif(F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("dk")), F.lit(LAST_ID)).alias("component_id"))
 
 
@@ -224,7 +227,7 @@ def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT)
     """
     found = near_duplicates(documents, size, percent)
     frame, dk, th = keyed(documents)
-    chosen = found.filter("n_shingles > 0").groupBy(F.coalesce("component_id", F.lit(LAST_ID)).alias("component")).agg(
+    chosen = found.filter("n_shingles > 0").groupBy("root").agg(
         F.min(F.struct("dk", "th")).alias("row")).select(F.col("row.dk").alias(dk), F.col("row.th").alias(th))
     empty = found.filter("n_shingles = 0").select(F.col("dk").alias(dk), F.col("th").alias(th)).distinct()
     kept = frame.join(chosen, [dk, th], "left_semi").dropDuplicates([dk, th])

@@ -65,6 +65,13 @@ def test_jaccard_join(documents, rows):
     assert ids.count(1) == 1 and 2 not in ids and 7 not in ids and {3, 4, 5, 8, 9} <= set(ids)
 
 
+def test_one_of_each_keeps_different_texts_under_one_id(documents):
+    texts = [" ".join(f"t{i}w{k}" for k in range(30)) for i in range(4)]
+    rows = [(None, texts[0], "a"), (None, texts[1], "a"), (5, texts[2], "a"), (5, texts[3], "a"), (None, texts[2], "b"), (6, texts[2], "b")]
+    kept = jaccard_join.one_of_each(documents(rows))
+    assert bag(kept, "doc_id", "text") == sorted(((d, t) for d, t, _ in rows[:4]), key=repr)
+
+
 def test_jaccard_join_of_many_near_copies(documents):
     """Chains and large groups: pairs that only meet after others are joined are still found."""
     rng = np.random.default_rng(3)
