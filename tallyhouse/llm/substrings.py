@@ -31,6 +31,7 @@ from tallyhouse.llm.words import Words, as_long, inside_text, slices, window_has
 
 WINDOW = 13
 GRAM = 4
+_DROPPED = np.uint64(24)  # anchors travel with 40 bits: equal ones stay equal, and windows are compared in full anyway
 
 
 def _anchors(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +63,9 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
         new = np.ones(len(row), bool)
         new[1:] = (np.diff(row) != 0) | (gram[1:] != gram[:-1])
         row, gram = row[new], gram[new]
-        yield pa.RecordBatch.from_arrays([as_long(gram), part.column("dk").take(pa.array(row))], ["anchor", "dk"])
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays([as_long(gram >> _DROPPED), part.column("dk").take(row), part.column("th").take(row)],
+                                         ["anchor", "dk", "th"])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -76,7 +79,7 @@ def _emit_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
         owner = np.repeat(np.arange(len(length)), length)
         # Found by document and anchor together: both sides as one sorted list of pairs.
         row = np.searchsorted(words.first, starts, "right") - 1
-        known = _pairs_in(row, grams[place], owner, shared)
+        known = _pairs_in(row, grams[place] >> _DROPPED, owner, shared)
         starts, row = starts[known], row[known]
         yield pa.RecordBatch.from_arrays([
             as_long(window_hashes(hashes, window)[starts]), part.column("dk").take(pa.array(row)),
@@ -132,22 +135,21 @@ def factor_documents(documents: DataFrame, window: int = WINDOW, texts: bool = T
     # A later copy of a text holds nothing new: all its windows start in the first one.
     sized = rows.select("dk", "th", F.octet_length("text").alias("size"))
     firsts = sized.groupBy("th", "size").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).filter("first < last")
-    copies = sized.join(firsts, ["th", "size"]).filter("dk > first").groupBy("dk").agg(F.collect_set("th").alias("copies"))
-    # Every join below is on dk, so the texts are dealt out once. Facts of a dk name their text by ``th``.
-    texts_of = rows.join(copies, "dk", "left").withColumn("copy", F.coalesce(F.array_contains("copies", F.col("th")), F.lit(False)))
+    copies = sized.join(firsts, ["th", "size"]).filter("dk > first").select("dk", "th").distinct().withColumn("known", F.lit(True))
+    # Every join below is on (dk, th), so the texts are dealt out once and no array holds facts of more than one document.
+    texts_of = rows.join(copies, ["dk", "th"], "left").withColumn("copy", F.coalesce("known", F.lit(False)))
     once = texts_of.filter("not copy").select("dk", "th", "text")
-    anchors = once.mapInArrow(partial(_emit_anchors, window=window), "anchor long, dk long")
+    anchors = once.mapInArrow(partial(_emit_anchors, window=window), "anchor long, dk long, th long")
     common = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = anchors.join(common, "anchor", "left_semi").groupBy("dk").agg(F.collect_set("anchor").alias("anchors"))
-    windows = once.join(shared, "dk").mapInArrow(
+    shared = anchors.join(common, "anchor", "left_semi").groupBy("dk", "th").agg(F.collect_set("anchor").alias("anchors"))
+    windows = once.join(shared, ["dk", "th"]).mapInArrow(
         partial(_emit_windows, window=window), "window long, dk long, th long, word int")
     earliest = windows.groupBy("window").agg(F.min("dk").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    found = windows.join(earliest, "window").filter("dk > first").groupBy("dk").agg(
-        F.collect_set(F.struct("th", "word")).alias("found"))
-    own = F.transform(F.filter("found", lambda f: f["th"] == F.col("th")), lambda f: f["word"])
+    found = windows.join(earliest, "window").filter("dk > first").groupBy("dk", "th").agg(
+        F.collect_set("word").alias("words"))
     schema = ("dk long, th long, n_words long, n_removed long, "
               "factors array<struct<word: long, n_words: long>>, kept string")
-    cleaned = texts_of.join(found, "dk", "left").select("dk", "th", "text", "copy", own.alias("words")).mapInArrow(
+    cleaned = texts_of.join(found, ["dk", "th"], "left").select("dk", "th", "text", "copy", "words").mapInArrow(
         partial(_clean, window=window, texts=texts), schema)
     return cleaned.select(F.nullif("dk", F.lit(LAST_ID)).alias("doc_id"), "*")
 

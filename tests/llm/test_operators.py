@@ -97,6 +97,25 @@ def test_substrings(documents, rows):
     assert by_id[2].n_removed == 200 and by_id[10].n_removed == 0
 
 
+def test_substrings_of_many_texts_under_one_id(documents, monkeypatch):
+    """No row of the window step holds the anchors of other documents, and results are those of brute force."""
+    shared = [" ".join(f"p{i}w{k}" for k in range(20)) for i in range(40)]
+    rows = [(None if i % 2 else 7, f"{p} " + " ".join(f"o{i}w{k}" for k in range(15)), "a") for i, p in enumerate(shared)]
+    rows += [(100 + i, p, "a") for i, p in enumerate(shared)]
+    longest, emit = max(len(t.split()) for _, t, _ in rows), substrings._emit_windows
+
+    def bounded(batches, window):
+        def seen():
+            for batch in batches:
+                assert max(len(a) for a in batch.column("anchors").to_pylist()) <= longest
+                yield batch
+        yield from emit(seen(), window)
+
+    monkeypatch.setattr(substrings, "_emit_windows", bounded)
+    got = bag(substrings.factor_documents(documents(rows), texts=False), "doc_id", "n_words", "n_removed", "kept")
+    assert got == sorted(brute.substrings(pairs(rows)), key=repr)
+
+
 def test_contamination(documents, rows, small):
     text = rows[9][1].split()
     items = [(1, " ".join(text[100:140])), (2, " ".join(text[100:140])), (3, rows[8][1]), (None, " ".join(rows[10][1].split()[5:17])),
