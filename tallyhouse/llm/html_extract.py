@@ -10,7 +10,8 @@ The trees are fitted on at most ``training_pages`` pages (chosen by hash of the
 text (``article``, ``main``) and what is not; to learn more than one site's habits, the same text blocks are also laid out
 in other page designs, with menus, sidebars, notices, adverts, forms and comments around them.
 
-Defined results: null, empty or text-free html gives the empty text; broken markup is closed where HTML closes it;
+Defined results: null, empty or text-free html gives the empty text; broken markup is closed where HTML closes it, and
+an element without main text (a button, a drawing) that is never closed ends at the next block;
 repeated rows give a row each; without training pages everything is kept but scripts, styles and the like. Only
 page_id, url and html are read; pages are parsed where they lie, nothing is shuffled.
 """
@@ -20,6 +21,8 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
 from html import escape
@@ -44,6 +47,9 @@ figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav
 tfoot th thead tr ul""".split())
 SILENT = frozenset("""script style noscript template head title iframe object svg math canvas audio video select datalist textarea
 button option applet frameset noframes""".split())
+RAW = frozenset("script style title textarea iframe noframes".split())  # text up to their own end tag
+SCOPES = frozenset("applet object template svg math select".split())  # an end tag inside does not reach out of them
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"),
                  "td": ("tr",), "th": ("tr",)}
@@ -81,6 +87,55 @@ class Block:
         self.end = 0
 
 
+def _silent_ends(events: list[tuple[str, str, list]]) -> dict[int, int]:
+    """For each start of a SILENT element that is closed, the event that closes it.
+
+    An end tag of an enclosing block closes what is open inside it, which then has no end of its own.
+    """
+    own: dict[str, list[int]] = defaultdict(list)
+    for i, (kind, tag, _) in enumerate(events):
+        if kind == "end" and tag in RAW:
+            own[tag].append(i)
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    blocks, silent = [Counter()], Counter()  # open blocks by scope, and open SILENT elements
+
+    def pop() -> tuple[str, int]:
+        name, at = stack.pop()
+        if name in BLOCKS:
+            blocks[-1][name] -= 1
+        else:
+            silent[name] -= 1
+            if name in SCOPES:
+                blocks.pop()
+        return name, at
+
+    skip = -1
+    for i, (kind, tag, _) in enumerate(events):
+        if i <= skip or kind == "data" or tag == "head":
+            continue
+        if kind == "start" and tag in RAW:
+            after = bisect_right(own[tag], i)
+            if after < len(own[tag]):
+                ends[i] = skip = own[tag][after]
+        elif kind == "start" and tag in SILENT:
+            stack.append((tag, i))
+            silent[tag] += 1
+            if tag in SCOPES:
+                blocks.append(Counter())
+        elif kind == "start" and tag in BLOCKS:
+            stack.append((tag, i))
+            blocks[-1][tag] += 1
+        elif kind == "end" and silent[tag] > 0:
+            while (top := pop())[0] != tag:
+                pass
+            ends[top[1]] = i
+        elif kind == "end" and tag in BLOCKS and blocks[-1][tag] > 0:
+            while pop()[0] != tag:
+                pass
+    return ends
+
+
 class Tree(HTMLParser):
     """The block elements of a page in page order, the page itself first."""
 
@@ -88,14 +143,59 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks = [Block("body", set(), -1)]
         self.stack: list[tuple[str, int]] = [("", 0)]  # open elements, with the block that each belongs to
-        self.silent: list[str] = []
         self.inside_link = 0
         self.run: list[str] = []
         self.place = 0
+        self.events: list[tuple[str, str, list]] = []  # (start, end or data; tag or text; attributes)
         self.feed(html)
         self.close()
+        self._build()
         self.flush()
 
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.events.append(("start", tag, attrs))
+
+    def handle_endtag(self, tag: str) -> None:
+        self.events.append(("end", tag, []))
+
+    def handle_data(self, data: str) -> None:
+        self.events.append(("data", data, []))
+
+    def _build(self) -> None:
+        """Blocks from the events, without SILENT elements. One that is never closed ends where the next block starts or ends,
+        ``head`` at the first thing that cannot stand in it."""
+        events, ends, in_head, i = self.events, _silent_ends(self.events), False, 0
+        while i < len(events):
+            kind, name, attrs = events[i]
+            if in_head:
+                if kind == "end" and name == "head":
+                    in_head = False
+                elif kind == "end":
+                    in_head = name not in ("body", "html", "br")
+                else:
+                    in_head = name in IN_HEAD if kind == "start" else not name.strip()
+            if kind == "start" and name == "head":
+                in_head = True
+            elif kind == "start" and name in SILENT:
+                if i in ends:
+                    i = ends[i]
+                else:
+                    while i + 1 < len(events) and not self._ends_silence(name, *events[i + 1][:2]):
+                        i = ends.get(i + 1, i + 1)
+            elif not in_head and kind == "start":
+                self._start(name, attrs)
+            elif not in_head and kind == "end" and name not in SILENT:
+                self._end(name)
+            elif not in_head and kind == "data":
+                self._text(name)
+            i += 1
+        self.events = []
+
+    @staticmethod
+    def _ends_silence(silent: str, kind: str, tag: str) -> bool:
+        """Whether this ends a SILENT element that is never closed."""
+        return kind != "data" and (tag in BLOCKS or silent == "title" and kind == "start")
+
     def flush(self) -> None:
         text = " ".join("".join(self.run).split())
         self.run = []
@@ -109,25 +209,7 @@ class Tree(HTMLParser):
             if self.stack.pop()[0] == "a":
                 self.inside_link = max(0, self.inside_link - 1)
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.silent:
-            if tag in SILENT and tag == self.silent[-1]:
-                self.silent.append(tag)
-            elif self.silent[-1] == "head" and tag == "body":
-                self.silent.clear()
-            elif self.silent[-1] == "title" or self.silent[-1] == "option" and tag in BLOCKS:
-                self.silent.pop()
-                self.handle_starttag(tag, attrs)
-                return
-            else:
-                if tag in SILENT:
-                    self.silent.append(tag)
-                return
-            if self.silent:
-                return
-        if tag in SILENT:
-            self.silent.append(tag)
-            return
+    def _start(self, tag: str, attrs: list) -> None:
         if tag in VOID:
             if tag in ("br", "hr", "img", "input"):
                 self.run.append(" ")
@@ -169,12 +251,7 @@ class Tree(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def handle_endtag(self, tag: str) -> None:
-        if self.silent:
-            if tag in self.silent:
-                while self.silent.pop() != tag:
-                    pass
-            return
+    def _end(self, tag: str) -> None:
         names = [name for name, _ in self.stack]
         for depth in range(len(names) - 1, 0, -1):
             if names[depth] == tag:
@@ -187,9 +264,7 @@ class Tree(HTMLParser):
             if names[depth] in BLOCKS and tag not in BLOCKS:
                 return  # an inline end tag does not reach out of its block
 
-    def handle_data(self, data: str) -> None:
-        if self.silent:
-            return
+    def _text(self, data: str) -> None:
         self.run.append(data)
         if self.inside_link:
             self.blocks[self.stack[-1][1]].links += len(data)

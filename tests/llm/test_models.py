@@ -84,6 +84,23 @@ def test_parsing():
     assert texts("") == texts("<") [:0] == [] and texts("<div><div>a") == ["a"]
 
 
+def test_parsing_of_elements_that_are_not_closed():
+    def texts(html):
+        return [t for _, t in sorted(run for b in html_extract.Tree(html).blocks for run in b.texts)]
+
+    assert texts("<html><head><title>T</title><p>Text<p>more") == ["Text", "more"]
+    assert texts("<head><meta charset=x><style>p{}</style><script>1</script>Bare text<div>more</div></head>") == ["Bare text", "more"]
+    assert texts("<head><title>T</title><noscript>n</noscript></head><body>a") == ["a"]
+    for tag in ("button", "object", "svg", "noscript", "select", "iframe", "canvas"):
+        assert texts(f"<div>a<{tag}>not this</div><p>b<p>c") == ["a", "b", "c"], tag
+        if tag != "iframe":  # its text goes on to the next end tag of its own
+            assert texts(f"<div>a<{tag}>not this<p>b</div>c<{tag}>x</{tag}>d") == ["a", "b", "cd"], tag
+        assert texts(f"<div>a<{tag}>x<i>y</i></{tag}>b</div>c") == ["ab", "c"], tag
+    assert texts("<div><button><div>label</div></button>a</div>b") == ["a", "b"]
+    assert texts("<button>one<button>two</button><p>a<select><option>x<option>y</select>b") == ["ab"]
+    assert texts("<div>" * 2000 + "<button>" * 2000 + "</section>" * 2000 + "<p>a") == ["a"]
+
+
 def test_extraction_of_odd_rows(small, trees):
     pages = small.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<article><p>" + "word " * 200_000, "x"), (3, "u", "no markup", "x"),
                                    (None, "u", "<div>" * 3000, "x")], "page_id long, url string, html string, text string")
