@@ -13,6 +13,7 @@ form one shingle. Two documents link when ``100 * intersection >= percent * unio
 4. Every class is first compared with one class per prefix shingle, the one with the fewest unshared shingles, which
    keeps large groups linear. Pairs of classes that are then still in different components but share a
    prefix shingle are all compared too, so no link that joins components is missed. Each pair is verified once, on the texts.
+5. ``linked`` takes no such short way: it verifies all candidate pairs, and counts the links of every document.
 
 Defined results: a null or empty text has no shingles and is a component of its own; a null doc_id counts as the last id
 and is given back as null; repeated rows are returned as often as they come. Only doc_id and text are read.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -162,12 +164,15 @@ def _sided(frame: DataFrame, side: str) -> DataFrame:
     return frame.select("token", *[F.col(c).alias(f"{side}_{c}") for c in frame.columns if c != "token"])
 
 
-def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
-                    table_bits: int = TABLE_BITS) -> DataFrame:
-    """Per document: doc_id, dk, th, n_shingles, class (equal sets), root, component_id (smallest doc_id of the component).
+class _Profiled(NamedTuple):
+    stages: Stages
+    profiles: DataFrame
+    classes: DataFrame
+    met: DataFrame  # prefix shingles that more than one class has
+    texts: DataFrame
 
-    ``root`` is the smallest class of the component and names it also where ids are null or repeated; it is null without shingles.
-    """
+
+def _profiled(documents: DataFrame, size: int, percent: int, table_bits: int) -> _Profiled:
     spark = documents.sparkSession
     stages = Stages(spark)
     rows = row_key(documents)
@@ -189,6 +194,42 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     met = stages.keep(met.distinct().join(alone, "class"))
 
     texts = rows.select("dk", "th", "text").dropDuplicates(["dk", "th"])
+    return _Profiled(stages, profiles, classes, met, texts)
+
+
+def link_pairs(found: _Profiled, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """All links between classes (a, b), a below b: every pair that passes the filters is verified once."""
+    sides = [_sided(found.met.join(found.classes.select("class", "bits"), "class"), side) for side in ("a", "b")]
+    pairs = sides[0].join(sides[1], "token").filter("a_class < b_class").filter(_filters(percent) & _near_enough(percent)).select(
+        F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct()
+    return found.stages.keep(_verified(found.stages.keep(pairs), found.classes, found.texts, size, percent))
+
+
+def linked(documents: DataFrame, size: int = SIZE, percent: int = PERCENT, table_bits: int = TABLE_BITS) -> DataFrame:
+    """Per document: doc_id, dk, th, class, root, n_links (other rows that it links with, its copies included).
+
+    The pairs grow with the square of a group of near copies; ``near_duplicates`` gives the components without them.
+    """
+    found = _profiled(documents, size, percent, table_bits)
+    pairs = link_pairs(found, size, percent)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(found.classes.select(F.col("class").alias("b"), "copies"), "b").groupBy(F.col("a").alias("class")).agg(
+        F.sum("copies").alias("others"))
+    roots = components(pairs, found.stages).select(F.col("node").alias("class"), "root")
+    per_class = found.classes.join(others, "class", "left").join(roots, "class", "left").select(
+        "class", F.coalesce("root", "class").alias("root"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    rows = found.profiles.select("doc_id", "dk", "th", F.when(F.col("n") > 0, F.col("class")).alias("class"))
+    return rows.join(per_class, "class", "left").select(
+        "doc_id", "dk", "th", "class", "root", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
+                    table_bits: int = TABLE_BITS) -> DataFrame:
+    """Per document: doc_id, dk, th, n_shingles, class (equal sets), root, component_id (smallest doc_id of the component).
+
+    ``root`` is the smallest class of the component and names it also where ids are null or repeated; it is null without shingles.
+    """
+    stages, profiles, classes, met, texts = _profiled(documents, size, percent, table_bits)
     sides = [_sided(met, "a"), _sided(met.groupBy("token").agg(
         F.min(F.struct("alone", "class", "n", "pos", "last")).alias("l")).select("token", "l.*"), "b")]
     pair = [F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")]
@@ -238,6 +279,10 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_jaccard_links(spark, sf_dir: str) -> DataFrame:
+    return linked(read(spark, sf_dir, "documents")).select("doc_id", "n_links")
+
+
 OP3_SQL = r"""
 with recursive cut as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -256,3 +301,19 @@ least as (select doc_id, min(r) as component_id from reach group by 1)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
 from least left join sizes using (doc_id)
 """
+
+OP3_LINKS_SQL = r"""
+with cut as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), grams as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) as i from cut where len(w) > 0)
+), sizes as (select doc_id, count(*) as n from grams group by 1),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)
+), ends as (select a as doc_id from links union all select b from links)
+select doc_id, count(ends.doc_id)::bigint as n_links from cut left join ends using (doc_id) group by 1
+"""

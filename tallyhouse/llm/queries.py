@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallyhouse.llm.compression_quality import op5_compression_quality
 from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
 from tallyhouse.llm.html_extract import op4_html_extraction
-from tallyhouse.llm.jaccard_join import OP3_SQL, op3_jaccard_join
+from tallyhouse.llm.jaccard_join import OP3_LINKS_SQL, OP3_SQL, op3_jaccard_join, op3_jaccard_links
 from tallyhouse.llm.language import op10_language_id
 from tallyhouse.llm.lm_scoring import OP6_SQL, op6_lm_scoring
 from tallyhouse.llm.mixing import OP8_SQL, op8_mixing
@@ -17,6 +17,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_jaccard_join": op3_jaccard_join,
+    "op3_jaccard_links": op3_jaccard_links,
     "op4_html_extraction": op4_html_extraction,
     "op5_compression_quality": op5_compression_quality,
     "op6_lm_scoring": op6_lm_scoring,
@@ -29,6 +30,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op3_jaccard_links": OP3_LINKS_SQL,
     "op6_lm_scoring": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op8_mixing": OP8_SQL,

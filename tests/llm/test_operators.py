@@ -89,6 +89,24 @@ def test_jaccard_join_of_many_near_copies(documents):
     assert bag(found, "doc_id", "n_shingles", "component_id") == sorted(brute.components(pairs(rows)), key=repr)
 
 
+def test_all_links_are_counted(documents, rows):
+    """Links inside one component as well, with copies, null ids and one id for several texts."""
+    rng = np.random.default_rng(4)
+    text = [f"w{i}" for i in range(120)]
+    for i in range(30):
+        near = list(text)
+        for place in rng.integers(0, 120, int(rng.integers(0, 4))):
+            near[place] = f"e{rng.integers(40)}"
+        rows.append((None if i % 5 == 0 else 200 + i // 2, " ".join(near), "a"))
+    sets = [brute.shingles(t) for _, t, _ in rows]
+    want = [(d, sum(bool(a and b) and i != j and 100 * len(a & b) >= 85 * len(a | b) for j, b in enumerate(sets)))
+            for i, ((d, _, _), a) in enumerate(zip(rows, sets, strict=True))]
+    found = jaccard_join.linked(documents(rows), table_bits=12).cache()
+    assert bag(found, "doc_id", "n_links") == sorted(want, key=repr) and max(n for _, n in want) > 10
+    # The pairs give the same components as the short way.
+    assert bag(found, "dk", "th", "root") == bag(jaccard_join.near_duplicates(documents(rows), table_bits=12), "dk", "th", "root")
+
+
 def test_substrings(documents, rows):
     found = substrings.factor_documents(documents(rows), texts=False)
     assert bag(found, "doc_id", "n_words", "n_removed", "kept") == sorted(brute.substrings(pairs(rows)), key=repr)
