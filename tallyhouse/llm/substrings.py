@@ -1,10 +1,9 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against the first occurrences of all documents.
+"""Duplicate passages by a join of word windows with their first occurrences in all documents.
 
-The reference is every window of ``window`` words with the smallest doc_id in which it starts, cut into
-blocks by hash (the partitions of a shuffle). A document is factored greedily: a factor starts at a word whose window the
-reference has in an earlier document, and goes on while the following windows are there too. Since windows that straddle
-two factors are looked up as well, the check at factor boundaries is complete: the factors cover exactly the words of
-windows that an earlier document has.
+This is no relative Lempel-Ziv parsing: no reference block is indexed. Of every window of ``window`` words the smallest
+doc_id in which it starts is found by a join on the window's hash. A factor of a document is a run of consecutive windows
+that earlier documents have, which may be different ones. All windows are looked up at every word, so the factors cover exactly
+the words of windows that an earlier document has.
 
 Only windows that can be in another document are looked up. Of each window the four-word gram with the
 smallest hash is its anchor, so two equal windows have the same anchor; windows whose anchor occurs in one document
