@@ -5,7 +5,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import bag, some_rows  # noqa: F401  (tests/llm/conftest.py)
+from helpers_llm import bag, some_rows
 
 from tallyhouse.llm import decontaminate, jaccard_join, lm_scoring, mixing, quality_rules, sharding, substrings
 

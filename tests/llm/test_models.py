@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import bag, some_rows
+from helpers_llm import bag, some_rows
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import boosted, compression_quality, html_extract, language
