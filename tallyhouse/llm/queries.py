@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyhouse.llm.compression_quality import op5_compression_quality
 from tallyhouse.llm.decontaminate import OP9_SQL, op9_decontamination
+from tallyhouse.llm.filter_audit import OP13_SQL, op13_filter_audit
 from tallyhouse.llm.html_extract import op4_html_extraction
 from tallyhouse.llm.jaccard_join import OP3_LINKS_SQL, OP3_SQL, op3_jaccard_join, op3_jaccard_links
 from tallyhouse.llm.language import op10_language_id
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op7_substring_dedup": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op9_decontamination": OP9_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
