@@ -10,9 +10,11 @@ from tallyhouse.llm.jaccard_join import OP3_LINKS_SQL, OP3_SQL, op3_jaccard_join
 from tallyhouse.llm.language import op10_language_id
 from tallyhouse.llm.lm_scoring import OP6_SQL, op6_lm_scoring
 from tallyhouse.llm.mixing import OP8_SQL, op8_mixing
+from tallyhouse.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from tallyhouse.llm.quality_rules import OP1_SQL, op1_quality_rules
 from tallyhouse.llm.sharding import op2_sharding
 from tallyhouse.llm.substrings import OP7_SQL, op7_substring_dedup
+from tallyhouse.llm.toxicity import op12_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -37,5 +41,6 @@ ORACLES = {
     "op7_substring_dedup": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op9_decontamination": OP9_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }
