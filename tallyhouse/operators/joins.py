@@ -8,10 +8,13 @@ shuffled joins are split by AQE.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from tallyhouse.sinks.counts import RunCounts
 
 
 def quoted(names: Iterable[str]) -> list[str]:
@@ -76,13 +79,21 @@ def excluded_values(exclusions: DataFrame, report: str, criterion: str) -> DataF
     )
 
 
-def exclude(frame: DataFrame, exclusions: DataFrame, report: str, criteria: Mapping[str, str]) -> DataFrame:
+def exclude(
+    frame: DataFrame, exclusions: DataFrame, report: str, criteria: Mapping[str, str], counts: RunCounts | None = None
+) -> DataFrame:
     """Drop the rows that a data-driven exclusion list names.
 
-    ``criteria`` maps a criterion of the list to the column it is compared with.
+    ``criteria`` maps a criterion of the list to the column it is compared with. ``counts`` learns of each criterion how many rows
+    there were and how many were kept.
     """
     for criterion, column in criteria.items():
+        step = f"exclude {criterion}"
+        if counts is not None:
+            frame = counts.watch(frame, step, rows=F.count("*"))
         frame = unmatched(frame, excluded_values(exclusions, report, criterion), column, "excluded")
+        if counts is not None:
+            frame = counts.watch(frame, step, kept=F.count("*"))
     return frame
 
 

@@ -6,6 +6,7 @@ Columns and sort terms are given as SQL text, for example ``"invoice_id desc"``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql.types import StructType
 
 from tallyhouse.operators.joins import left_join_sparse, quoted
 
+if TYPE_CHECKING:
+    from tallyhouse.sinks.counts import RunCounts
+
 _RANK = "__rank"
 
 
@@ -45,21 +49,27 @@ def latest_aggregates(values: Mapping[str, str], by: str, when: str | None = Non
 
 def enrich(
     frame: DataFrame, source: DataFrame, key: str, source_key: str, columns: Mapping[str, str],
-    order: Sequence[str] | None = None, spread_by: Sequence[str] = (),
+    order: Sequence[str] | None = None, spread_by: Sequence[str] = (), counts: RunCounts | None = None, step: str = "",
 ) -> DataFrame:
     """Fill columns of ``frame`` from the matching row of ``source``.
 
     Rows without a match get nulls, and none is lost or repeated: with several matches
     the first in ``order`` wins. Pass no order when ``source`` has one row per key.
     Where the key is often null, ``spread_by`` names columns that tell rows apart, to
-    spread the nulls by.
+    spread the nulls by. ``counts`` learns under ``step`` how many rows found no match.
     """
     if order is not None:
         source = first_per_key(source, [source_key], order)
     picked = source.selectExpr(f"{source_key} as __key", *[f"{column} as {name}" for name, column in columns.items()])
+    if counts is not None:
+        picked = picked.withColumn("__found", F.lit(True))
     if spread_by:
-        return left_join_sparse(frame, picked, key, "__key", spread_by)
-    return frame.join(picked, F.expr(f"{key} = __key"), "left").drop("__key")
+        joined = left_join_sparse(frame, picked, key, "__key", spread_by)
+    else:
+        joined = frame.join(picked, F.expr(f"{key} = __key"), "left").drop("__key")
+    if counts is None:
+        return joined
+    return counts.watch(joined, step, unmatched=F.count_if(F.col("__found").isNull())).drop("__found")
 
 
 def wide_key_distinct(frame: DataFrame, keys: Sequence[str], output: Mapping[str, str]) -> DataFrame:

@@ -21,6 +21,7 @@ from tallyhouse.operators import (
     enrich, exclude, first_per_key, latest_values, left_join_sparse, restrict_to_keys, typed_insert,
 )
 from tallyhouse.operators.keyed import latest_aggregates
+from tallyhouse.sinks.counts import RunCounts
 from tallyhouse.sinks.stages import StageArea
 
 col = F.col
@@ -37,16 +38,18 @@ def member_count_schema() -> StructType:
 def net_member_count(
     tables: Mapping[str, DataFrame], *, now: datetime, exclusion_report: str = fixed.MEMBER_COUNT_EXCLUSION,
     case_insensitive: bool = True, fix_advisor_role: bool = False, stages: StageArea | None = None,
+    counts: RunCounts | None = None,
 ) -> DataFrame:
     """One row per live agreement and key bundle, in the declared columns and types.
 
     The advisor's work role is looked up by the salesperson, and so is filled only where
     the salesperson advises some agreement too; ``fix_advisor_role`` looks it up by the
-    advisor. Where several source rows fit, the one with the highest id is used.
+    advisor. Where several source rows fit, the one with the highest id is used. ``counts`` learns how many rows
+    each exclusion left, and how many agreements have no known seller or PIN user.
     """
     stages = stages or StageArea(tables["MemberAgreement"].sparkSession)
     staff = stages.keep(staff_roles(tables), "staff")
-    base = stages.keep(agreements_counted(tables, now, exclusion_report, case_insensitive), "base")
+    base = stages.keep(agreements_counted(tables, now, exclusion_report, case_insensitive, counts), "base")
     # Every lookup below starts from the agreements that count.
     counted = base.select("agreement_id").distinct()
     items = stages.keep(key_items(tables, counted), "items")
@@ -64,7 +67,7 @@ def net_member_count(
     rows = _with_sellers(tables, agreements)
     for who, user in (("sales", "seller_user"), ("pin", "pin_user")):
         found = {f"{who}_{c}": c for c in ("party", "role_id", "first_name", "last_name", "payroll", "username")}
-        rows = enrich(rows, users, user, "user_id", found, spread_by=_ROW)
+        rows = enrich(rows, users, user, "user_id", found, spread_by=_ROW, counts=counts, step=f"{who} user")
     rows = enrich(rows, roles, "sales_party", "party", {"sales_work_role": "work_role"}, spread_by=_ROW)
     rows = _with_members(tables, rows)
     rows = left_join_sparse(rows, referrers(tables, agreements, roles, stages), "referred_by", "key", _ROW)
@@ -77,7 +80,7 @@ def net_member_count(
 
 
 def agreements_counted(
-    tables: Mapping[str, DataFrame], now: datetime, exclusion_report: str, case_insensitive: bool
+    tables: Mapping[str, DataFrame], now: datetime, exclusion_report: str, case_insensitive: bool, counts: RunCounts | None = None,
 ) -> DataFrame:
     """Agreements that are not expired, of the counted kinds, not trial bundles, not excluded."""
     exclusions = tables["Staging_ReportExclusionStaging"]
@@ -92,8 +95,8 @@ def agreements_counted(
         "StatusId as status", "Name as status_name",
     )
     # Plans and bundles must be known, so excluding them there is the same and smaller.
-    plans = exclude(plans, exclusions, exclusion_report, {"AgreementID": "plan_id"})
-    bundles = exclude(bundles, exclusions, exclusion_report, {"BundleID": "bundle_id"})
+    plans = exclude(plans, exclusions, exclusion_report, {"AgreementID": "plan_id"}, counts)
+    bundles = exclude(bundles, exclusions, exclusion_report, {"BundleID": "bundle_id"}, counts)
     held = (
         tables["MemberAgreementItem"].filter(col("IsKeyItem") == 1)
         .selectExpr("MemberAgreementId as agreement_id", "BundleId as bundle_id")
@@ -111,7 +114,7 @@ def agreements_counted(
         .join(statuses, "status", "left")
         .join(units, F.expr("unit_id = known_unit"), "left")
     )
-    live = exclude(live, exclusions, exclusion_report, {"BusinessUnitID": "known_unit"})
+    live = exclude(live, exclusions, exclusion_report, {"BusinessUnitID": "known_unit"}, counts)
     return live.join(held, "agreement_id").join(cancellation_dates(tables, now), "agreement_id", "left")
 
 

@@ -1,4 +1,6 @@
-from tallyhouse.sinks.replace import replace_if_nonempty
-from tallyhouse.sinks.stages import StageArea
+from tallyhouse.sinks.counts import RunCounts
+from tallyhouse.sinks.generations import Generations
+from tallyhouse.sinks.replace import Replacement, replace_if_nonempty
+from tallyhouse.sinks.stages import StageArea, sweep
 
-__all__ = ["StageArea", "replace_if_nonempty"]
+__all__ = ["Generations", "Replacement", "RunCounts", "StageArea", "replace_if_nonempty", "sweep"]

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.sinks.files import Files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+LIFETIME = timedelta(days=2)
+OWNER = "_owner.json"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,8 +26,41 @@ def shared_folder(spark: SparkSession) -> str:
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder and all in it, on whatever file system it is."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    Files(spark).remove(folder)
+
+
+def own_folder(spark: SparkSession, folder: str, lifetime: timedelta = LIFETIME) -> str:
+    """Mark a folder as this application's until it expires; marking it again puts that off."""
+    expires = datetime.now(timezone.utc) + lifetime
+    Files(spark).write(f"{folder}/{OWNER}", json.dumps({"owner": spark.sparkContext.applicationId, "expires": expires.isoformat()}))
+    return folder
+
+
+def owned_folder(spark: SparkSession, kind: str, root: str | None = None, lifetime: timedelta = LIFETIME) -> str:
+    """A new folder of this application below the shared one, to be removed by :func:`sweep`."""
+    return own_folder(spark, f"{root or shared_folder(spark)}/{kind}-{uuid.uuid4().hex}", lifetime)
+
+
+def sweep(spark: SparkSession, root: str | None = None, *, mine: bool = False, now: datetime | None = None) -> list[str]:
+    """Remove the marked folders that have expired, and with ``mine`` all of this application; returns their names.
+
+    Nothing without a mark is touched. ``mine`` is for the end of an application, when all that was made from its
+    stages has been written.
+    """
+    files, root = Files(spark), root or shared_folder(spark)
+    now, gone = now or datetime.now(timezone.utc), []
+    for name in files.names(root):
+        try:
+            mark = json.loads(files.read(f"{root}/{name}/{OWNER}"))
+        except Py4JJavaError:  # no mark, or another run is removing it just now
+            continue
+        if datetime.fromisoformat(mark["expires"]) <= now or (mine and mark["owner"] == spark.sparkContext.applicationId):
+            files.remove(f"{root}/{name}")
+            gone.append(name)
+    return gone
+
+
+_SWEPT: set[tuple[str, str]] = set()
 
 
 class StageArea:
@@ -33,12 +73,16 @@ class StageArea:
 
         with StageArea(spark) as stages:
             ar_aging(tables, now=now, stages=stages).write.parquet(...)
+
+    The folder carries its owner and when it expires, which each stage puts off. An application's first stage sweeps
+    away what earlier ones left past that time; ``sweep(spark, mine=True)`` ends its own.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, lifetime: timedelta = LIFETIME):
         self._spark = spark
         self._root = root
         self._run = uuid.uuid4().hex
+        self._lifetime = lifetime
 
     @property
     def folder(self) -> str:
@@ -48,6 +92,11 @@ class StageArea:
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
+        here = (self._spark.sparkContext.applicationId, self._root)
+        if here not in _SWEPT:
+            _SWEPT.add(here)
+            sweep(self._spark, self._root)
+        own_folder(self._spark, self.folder, self._lifetime)
         frame.write.mode("errorifexists").parquet(path)
         return self._spark.read.schema(frame.schema).parquet(path)
 

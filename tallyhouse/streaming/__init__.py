@@ -1,3 +1,4 @@
 from tallyhouse.streaming.highwater import Extract, resolve_window
+from tallyhouse.streaming.marks import ExtractLog
 
-__all__ = ["Extract", "resolve_window"]
+__all__ = ["Extract", "ExtractLog", "resolve_window"]

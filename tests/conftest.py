@@ -10,6 +10,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from tallyhouse.session import tune  # noqa: E402
+from tallyhouse.sinks.files import Files  # noqa: E402
+from tallyhouse.sinks.stages import shared_folder, sweep  # noqa: E402
 from tallyhouse.sources.schemas import SOURCE_DDL, canonical, declared  # noqa: E402
 from tallyhouse.sources.tables import TableSet  # noqa: E402
 
@@ -32,7 +34,12 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    # Whatever the queries kept is swept away with the application that made it.
+    sweep(session, mine=True)
+    own = session.sparkContext.getCheckpointDir() or ""  # Spark's own, which it removes itself
+    left = [name for name in Files(session).names(shared_folder(session)) if name != own.rsplit("/", 1)[-1]]
     session.stop()
+    assert left == []
 
 
 @pytest.fixture(scope="session")
