@@ -1,0 +1,264 @@
+"""Prefix trie, toxicity and filter audit against brute force and held-out labels."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+from itertools import permutations
+
+import numpy as np
+import pytest
+from helpers_llm import bag
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import filter_audit, prefix_trie, toxicity
+from tallyhouse.llm.automaton import Lexicon, allowed_edits
+from tallyhouse.llm.common import Stages, read
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+# ---- 11: prefix trie
+
+
+def brute_rebuilt(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {conv: [turn[1:] for turn in sorted(turns)] for conv, turns in own.items()}
+    made = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        family = conv - int(np.fmod(conv, 20))
+        made[conv] = own.get(family, [])[:h] + turns[h:]
+    return made
+
+
+def brute_trie(made):
+    members = defaultdict(list)
+    for conv in sorted(made):
+        for d in range(len(made[conv]) + 1):
+            members[tuple(made[conv][:d])].append(conv)
+    out = []
+    for node, convs in members.items():
+        below = [sub for sub in members if sub[: len(node)] == node]
+        ends = ",".join(str(c) for c in convs if len(made[c]) == len(node))
+        out.append((
+            convs[0], len(node), members[node[:-1]][0] if node else None, len(convs), sum(len(sub) == len(node) + 1 for sub in below),
+            sum(not any(len(other) == len(sub) + 1 and other[: len(sub)] == sub for other in below) for sub in below),
+            sum((len(members[sub]) - 1) * len(WORDS.findall(sub[-1][1])) for sub in below if sub), hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+TRIE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+TURNS = "conv_id long, turn long, role string, text string, depth int, p1 string, words array<int>, place string"
+
+
+def trie_of(small, rows, **patched):
+    frame = small.createDataFrame([(*row, 1, "x", [1], "y") for row in rows], TURNS).repartition(3)
+    stages = Stages(small)
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.ordered_turns(frame, stages), stages), stages)
+
+
+def some_turns(seed, convs=60, longest=30):
+    rng = random.Random(seed)
+    lines = ["", "yes", "no  way", "a b c", "tell\tme more"]
+    rows = []
+    for conv in rng.sample(range(-5, 90), convs):
+        n = rng.choice([0, 1, 2, 3, 7, 8, 9, 16, 17, longest])
+        copied = rng.random() < 0.5
+        talk = random.Random(conv // 30) if copied else rng
+        for turn in range(n):
+            rows.append((conv, turn, talk.choice(["user", "assistant"]), talk.choice(lines)))
+    return rows
+
+
+def test_trie_of_random_conversations(small, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "SPAN", 2)
+    monkeypatch.setattr(prefix_trie, "_IDS_AT_ONCE", 3)
+    rows = some_turns(1)
+    assert bag(trie_of(small, rows), *TRIE) == brute_trie(brute_rebuilt(rows))
+
+
+def test_trie_with_nulls_ties_repeats_and_turnless_conversations(small):
+    rows = [
+        (20, 0, "user", "hi there"), (20, 1, None, None), (20, None, "system", "first of all"), (20, 1, "user", "b"), (20, 1, "user", "b"),
+        (20, 1, "user", "a"), (21, 5, "user", "x" * 100_000), (22, 0, "user", "only"), (None, 0, "user", "nobody's"), (None, None, None, None),
+        (41, 0, "user", "family without a first"), (41, 1, "user", "more"), (-3, 0, "user", "below zero"), (0, 0, "", ""), (3, 0, "user", "q"),
+        (1, 0, "user", "q"), (2, 0, "user", "q"), (2, 0, "user", "q"),
+    ]
+    made = brute_rebuilt(rows)
+    assert [] in made.values() or any(len(turns) == 0 for turns in made.values())
+    assert bag(trie_of(small, rows), *TRIE) == brute_trie(made)
+
+
+def test_trie_of_copies_and_of_nothing(small):
+    talk = [("user", f"turn {i} of the same talk") for i in range(20)]
+    rows = [(conv, i, *turn) for conv in range(100, 140) for i, turn in enumerate(talk)]
+    assert bag(trie_of(small, rows), *TRIE) == brute_trie(brute_rebuilt(rows))
+    assert trie_of(small, []).collect() == []
+
+
+def test_only_diverging_blocks_are_taken_apart(small):
+    """A chain of copies makes one row per block, and only the block where one differs has its turns grouped."""
+    talk = [("user", f"t{i}") for i in range(24)]
+    rows = [(conv, i, *turn) for conv in (100, 120, 140) for i, turn in enumerate(talk)]
+    rows[-1] = (140, 23, "user", "another end")
+    stages = Stages(small)
+    frame = small.createDataFrame([(*row, 1, "x", [1], "y") for row in rows], TURNS)
+    turns, _ = prefix_trie.rebuilt(prefix_trie.ordered_turns(frame, stages), stages)
+    groups = prefix_trie._grouped(prefix_trie.blocks_of(turns), "conv_id", {"n": "1L"})
+    assert sorted((r.up, r.n) for r in groups.collect()) == [(0, 3), (8, 3), (16, 1), (16, 2)]
+
+
+# ---- 12: toxicity
+
+
+def edits(a, b):
+    d = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+term = st.text("abé", min_size=1, max_size=12)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(term, min_size=1, max_size=8, unique=True), st.lists(st.text("abéz", max_size=13), max_size=12), st.sampled_from([4, 50_000]))
+def test_automaton(terms, words, most_states):
+    lexicon = Lexicon(terms, most_states)
+    for word in [*words, *terms, *[t[:-1] for t in terms], *[t[1:2] + t[:1] + t[2:] for t in terms]]:
+        want = min(((edits(word, t), i) for i, t in enumerate(terms) if edits(word, t) <= allowed_edits(t)), default=None)
+        assert lexicon.find(word) == want
+
+
+def test_misspelled_and_quoted_hits():
+    model = toxicity.Model(["scoundrel", "rogue"], [4.0, 3.0], frozenset(["rouge"]), {}, np.zeros(4))
+    finder = toxicity.Finder(model)
+    assert finder.features("a perfectly fine text, with rouge on it") == (0, 0, 0)
+    meant, misspelled, quoted = finder.features("what a Scoundrel!!")
+    assert meant > 1.5 and misspelled == 0 and quoted < 0.2
+    for written in ("scoundrle", "sc0undrel", "scoundrell", "scoundre", "sco-undrel", "[scuondrel]"):
+        meant, misspelled, _ = finder.features(f"you are a {written} indeed")
+        assert meant == 0 and misspelled > 1.5, written
+    abuse = finder.features("you are a rogue")
+    report = finder.features('the paper wrote that the word "rogue" was used')
+    assert abuse[0] > report[0] and report[2] > abuse[2] and report[0] < 0.7
+    assert finder.features("") == (0, 0, 0) and finder.features(" \n\t") == (0, 0, 0)
+
+
+def test_sparse_weights_leave_out_words_explained_by_others():
+    """Word 1 occurs only beside word 0; word 2 alone explains rows of its own."""
+    rows = [(1, [0, 1])] * 20 + [(1, [0])] * 40 + [(1, [2])] * 10 + [(0, [])] * 300 + [(0, [3])] * 5 + [(1, [3])] * 5
+    weights = toxicity.sparse_weights(rows, 4, sparsity=1.0)
+    assert weights[0] > 2 and weights[2] > 2 and weights[1] < 0.5 * weights[0] and weights[3] < weights[2]
+    assert toxicity.sparse_weights([], 3).tolist() == [0, 0, 0]
+
+
+def labelled(small, texts):
+    docs = small.createDataFrame([(i, t, "en", "clash", 1) for i, (t, _) in enumerate(texts)], "doc_id long, text string, lang string, toxic string, part int")
+    marks = small.createDataFrame([(i, 1, y, "clash") for i, (_, y) in enumerate(texts)], "doc_id long, quality int, toxic int, text string")
+    return docs, marks
+
+
+def test_toxicity_of_rows_with_nulls_and_one_label(small):
+    docs, marks = labelled(small, [(None, 0), ("", 1), ("plain words here", 0), ("plain words here", 0)] * 3)
+    found = toxicity.score(docs, toxicity.train(docs, marks)).collect()
+    assert len(found) == 12 and all(0 <= r.score <= 1 for r in found)
+    none = toxicity.score(docs, toxicity.train(docs, marks.filter("false"))).collect()
+    assert {r.score for r in none} == {0.5}
+    assert toxicity.score(docs.filter("false"), toxicity.train(docs.filter("false"), marks)).count() == 0
+    only = toxicity.score(docs, toxicity.train(docs, marks.withColumn("toxic", F.lit(1)))).collect()
+    assert all(r.score > 0.9 for r in only)
+
+
+def test_toxicity_finds_misspelled_terms_and_spares_quotations(small):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 3))) for _ in range(300)]
+
+    def prose(n):
+        return [rng.choice(plain) for _ in range(n)]
+
+    texts = []
+    for i in range(900):
+        words = prose(40)
+        if i % 5 == 0:
+            words[rng.randrange(40)] = rng.choice(["zhynaquist", "wyxolgar"])
+        texts.append((" ".join(words), int(i % 5 == 0)))
+    docs, marks = labelled(small, texts)
+    model = toxicity.train(docs, marks)
+    assert {"zhynaquist", "wyxolgar"} <= set(model.terms)
+    new = {1: " ".join([*prose(20), "zhynaquizt", *prose(20)]), 2: " ".join([*prose(20), "wyxolgar", *prose(20)]), 3: " ".join(prose(40)),
+           4: " ".join([*prose(20), "they", "wrote", "the", "word", '"wyxolgar"', "then", *prose(20)]), 5: None}
+    found = {r.doc_id: r.score for r in toxicity.score(small.createDataFrame(list(new.items()), "doc_id long, text string"), model).collect()}
+    assert found[2] > 0.9 and found[1] > 0.3 > found[3] and found[4] < found[2] and found[5] == pytest.approx(found[3], abs=0.05)
+
+
+def test_toxicity_on_held_out_labels(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    found = toxicity.op12_toxicity(spark, sf_dir)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = found.join(read(spark, sf_dir, "labels"), "doc_id").filter("held_out").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    clean = [r for r in rows if r.toxic == 0]
+    assert sum(r.predicted for r in toxic) > 0.8 * len(toxic) and sum(r.predicted for r in clean) < 0.03 * len(clean)
+    share = sum(r.score for r in rows) / len(rows)
+    assert abs(share - len(toxic) / len(rows)) < 0.03
+
+
+# ---- 13: filter audit
+
+
+def brute_audit(docs, labels):
+    good = {d for d, quality, _ in labels if d is not None and quality == 1}
+    toxic = {d for d, _, bad in labels if d is not None and bad == 1}
+    smallest = {}
+    for doc_id, text, _ in docs:
+        key = float("inf") if doc_id is None else doc_id
+        smallest[text or ""] = min(smallest.get(text or "", key), key)
+    parts = defaultdict(list)
+    for doc_id, text, source in docs:
+        text, words = text or "", WORDS.findall(text or "")
+        parts[source or ""].append((doc_id, {f for f, failed in {
+            "A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)), "E": (float("inf") if doc_id is None else doc_id) > smallest[text]}.items() if failed}))
+    out = []
+    for part, rows in parts.items():
+        total = defaultdict(int)
+        steps = []
+        for order in permutations("ABCDE"):
+            left = rows
+            for step, f in enumerate(order, 1):
+                gone = [d for d, failed in left if f in failed]
+                left = [row for row in left if f not in row[1]]
+                total[f] += len(gone)
+                fails = [failed for _, failed in rows if f in failed]
+                steps.append((part, "".join(order), step, f, len(left), len(gone), len(fails) - len(gone), sum(failed == {f} for failed in fails),
+                              sum(d in good for d in gone), sum(d in toxic for d in gone)))
+        out += [(*row[:3], *row[4:], total[row[3]]) for row in steps]
+    return sorted(out, key=repr)
+
+
+AUDIT = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def test_filter_audit(documents, rows, small):
+    rng = random.Random(2)
+    long = " ".join(rng.choice(["ab", "cd", "Éf", "GH"]) + str(rng.randrange(150)) for _ in range(260))
+    rows = [*rows, (50, long, "a"), (51, long, "b"), (51, long, "b"), (51, long, None), (None, long, "a"), (52, long + " #", "a"),
+            (53, long.lower(), ""), (54, long.lower(), "a"), (None, "nowhere else", "a"), (None, "nowhere else", "a"), (56, "* " * 300, "c"),
+            (57, "W" * 2_000_000, "c")]
+    marks = [(1, 1, 0), (2, 0, 1), (7, 1, 1), (50, 1, 1), (51, 1, 0), (51, 0, 1), (None, 1, 1), (52, None, None), (53, 1, None), (100, 1, 1)]
+    labels = small.createDataFrame([(*m, "clash", 1) for m in marks], "doc_id long, quality int, toxic int, text string, failed int")
+    found = filter_audit.audit(documents(rows), labels)
+    assert bag(found, *AUDIT) == brute_audit(rows, marks)
+    assert filter_audit.audit(documents([]), labels).count() == 0
+    without = filter_audit.audit(documents(rows[:4]), labels.filter("false"))
+    assert bag(without, *AUDIT) == brute_audit(rows[:4], [])
