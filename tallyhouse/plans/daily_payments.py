@@ -7,6 +7,7 @@ ledger and request scans, which then need no shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -50,12 +51,7 @@ def daily_pos(
     units = _units(tables).withColumnRenamed("unit_merchant", "merchant")
     paid = payments.join(electronic, F.expr("payment_id = eft_payment"), "left").join(units, "unit_id", "left")
     joined = left_join_many(stages.keep(paid, "pos_paid"), ledger, "payment_id", "ledger_payment")
-    keys = [
-        "role_key", "role_id", "party_id", "link_id", "link_type", "payment_id", "reference", "paid_at",
-        "payment_amount", "tender_id", "unit_id", "card_type", "declined", "ledger_text", "invoice_id",
-        "ledger_amount", "credit", "transaction_id", "work_unit", "token", "mask", "expires", "merchant", "response",
-        "response_text", "unit_name", "gl_prefix", "unit_code",
-    ]
+    keys = [name for name in joined.columns if name not in ("eft_payment", "eft_merchant", "eft_times", "ledger_payment")]
     # Summing an amount that is also a key gives it once per repeated row.
     amount = F.expr("sum(ledger_amount * coalesce(eft_times, 1)) as transaction_amount")
     summed = joined.groupBy(*keys).agg(amount)
@@ -71,12 +67,8 @@ def daily_pos(
         "MerchantCode": "merchant", "ResponseCode": "response", "ResponseMessage": "response_text",
         **_common_output(case_insensitive),
     }
-    wide = [
-        "role_id", "party_id", "payment_id", "declined", "invoice_id", "paid_at", "unit_name", "token", "mask",
-        "cash_account", "expires", "merchant", "response", "response_text", "gl_prefix", "credit",
-        "transaction_amount", "unit_code", "card_name", "card_short", "reference", "tender",
-        *fixed.MERCHANT_ID_COLUMNS, "invoiced_at", "transaction_id",
-    ]
+    # Rows are told apart by what is shown, before it is worded, and by these (E9).
+    wide = _told_apart(output, detail, "party_id", "transaction_id")
     chosen = {name: output[name] for name in fixed.names(fixed.POS_COLUMNS)}
     return Extract(wide_key_distinct(detail, wide, chosen), low, high)
 
@@ -137,14 +129,10 @@ def daily_batch(
         "MerchantCode": "eft_merchant", "ResponseCode": "response", "ResponseMessage": "response_text",
         **_common_output(case_insensitive),
     }
-    wide = [
-        "role_id", "party_id", "payment_id", "request_id", "response_reference", "known_invoice", "paid_at", "token",
-        "expires", "eft_merchant", "response", "response_text", "credit", "transaction_amount", "batch_id",
-        "card_name", "card_short", "unit_name", "gl_prefix", "unit_code", "tender", "cash_account", "mask",
-        *fixed.MERCHANT_ID_COLUMNS, "invoiced_at", "declined", "ledger_text",
-    ]
+    detail = _codes(tables, detail)
+    wide = _told_apart(output, detail, "party_id", "ledger_text")
     chosen = {name: output[name] for name in fixed.names(fixed.BATCH_COLUMNS)}
-    return Extract(wide_key_distinct(_codes(tables, detail), wide, chosen), low, high)
+    return Extract(wide_key_distinct(detail, wide, chosen), low, high)
 
 
 def _window(tables: Mapping[str, DataFrame], low: datetime, high: datetime, payment_id: int | None) -> DataFrame:
@@ -220,6 +208,13 @@ def _codes(tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
     )
 
 
+def _told_apart(output: Mapping[str, str], detail: DataFrame, *more: str) -> list[str]:
+    """The columns of ``detail`` that the output is worded from, and further ones."""
+    words = set(re.findall(r"`([^`]+)`|(\w+)", " ".join(output.values())))
+    used = {quoted or plain for quoted, plain in words}
+    return [name for name in detail.columns if name in used or name in more]
+
+
 def _text(value: str) -> str:
     """A text literal in SQL."""
     return f"'{value}'"
