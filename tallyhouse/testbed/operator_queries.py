@@ -20,7 +20,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.operators.keyed import latest_aggregates
 from tallyhouse.sinks.replace import replace_if_nonempty
-from tallyhouse.sinks.stages import StageArea
+from tallyhouse.sinks.stages import StageArea, owned_folder
 from tallyhouse.streaming.highwater import day_aligned, resolve_window
 from tallyhouse.testbed.adapter import billing_tables
 
@@ -336,16 +336,16 @@ def typed_insert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replace_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report table replaced, then left alone by an empty run and by a dry run."""
-    area = StageArea(spark)
+    folder = owned_folder(spark, "reports")
     totals = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.count("*").alias("orders"), F.expr("sum(cast(o_totalprice as decimal(19,4))) as price")
     )
-    table = f"tallyhouse_report_{area.folder.rsplit('-', 1)[1]}"
-    replace_if_nonempty(totals.limit(0), table, area.folder)
-    replace_if_nonempty(totals.filter("orders > 5"), table, area.folder)
-    replace_if_nonempty(totals, table, area.folder)
-    replace_if_nonempty(totals.filter("orders < 0"), table, area.folder)
-    replace_if_nonempty(totals.filter("orders > 5"), table, area.folder, dry_run=True)
+    table = f"tallyhouse_report_{folder.rsplit('-', 1)[1]}"
+    replace_if_nonempty(totals.limit(0), table, folder)
+    replace_if_nonempty(totals.filter("orders > 5"), table, folder)
+    replace_if_nonempty(totals, table, folder)
+    replace_if_nonempty(totals.filter("orders < 0"), table, folder)
+    replace_if_nonempty(totals.filter("orders > 5"), table, folder, dry_run=True)
     return spark.table(table)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from itertools import pairwise
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ def _counted(tables: TableSet) -> DataFrame:
     with StageArea(spark) as stages:
         report = net_member_count(tables, now=NOW, stages=stages, counts=counts)
         done = replace_if_nonempty(report, f"tallyhouse_{root.rsplit('-', 1)[1]}", root, counts=counts)
-    return spark.createDataFrame(sorted(done.counts.items()), "measure string, value long")
+    measures, values = zip(*sorted(done.counts.items()), strict=True)
+    return spark.createDataFrame(pa.table({"measure": pa.array(measures, pa.string()), "value": pa.array(values, pa.int64())}))
 
 
 def _ordered(tables: TableSet) -> DataFrame:
