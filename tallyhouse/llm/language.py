@@ -35,8 +35,65 @@ SLOTS = 1 << 14
 MOST_GRAMS = 60
 SMOOTHING = 2.0
 HOST_WEIGHT = 5.0
-_MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+# Each pattern matches at a place or gives up there at once; what is open is looked for with find, once.
+_OPENS = re.compile(r"<(?:!--|(script|style)\b)?|&(?=#?\w{1,32};)", re.IGNORECASE)
+_REFERENCE = re.compile(r"&#?\w{1,32};")
+_CLOSES = {name: re.compile(rf"</{name}\s{{0,32}}>", re.IGNORECASE) for name in ("script", "style")}
+_HTML = re.compile(r"<html(?=[\s/>])", re.IGNORECASE)
+_LANG = re.compile(r"\slang\s{0,32}=\s{0,32}[\"']?\s{0,32}([a-z]{2,3})\b", re.IGNORECASE)
+
+
+def plain_text(html: str) -> str:
+    """A page with a blank for each tag, comment, character reference, script and style.
+
+    One pass over the page: the end of an element, comment or tag that is never closed is looked for once, and from then on what opens
+    one is text.
+    """
+    out, at, missing = [], 0, set()
+    while (found := _OPENS.search(html, at)) is not None:
+        begin, name = found.start(), (found.group(1) or "").lower()
+        end = -1
+        if name and name not in missing:
+            closed = _CLOSES[name].search(html, found.end())
+            end = closed.end() if closed else -1
+            if end < 0:
+                missing.add(name)
+        elif found.group() == "<!--" and "<!--" not in missing:
+            end = html.find("-->", found.end())
+            end = end + 3 if end >= 0 else -1
+            if end < 0:
+                missing.add("<!--")
+        elif found.group() == "&":
+            end = _REFERENCE.match(html, begin).end()
+        if end < 0 and html[begin] == "<" and "<" not in missing:
+            end = html.find(">", begin) + 1 or -1
+            if end < 0:
+                missing.add("<")
+        if end < 0:
+            out.append(html[at : begin + 1])
+            at = begin + 1
+        else:
+            out += [html[at:begin], " "]
+            at = end
+    out.append(html[at:])
+    return "".join(out)
+
+
+def declared_language(html: str) -> str:
+    """The language that the page's ``html`` element declares, in lower case, else empty.
+
+    Of several such elements the first that declares one counts; one that is not closed ends the search.
+    """
+    at = 0
+    while (found := _HTML.search(html, at)) is not None:
+        end = html.find(">", found.end())
+        if end < 0:
+            return ""
+        said = _LANG.search(html, found.end(), end + 1)
+        if said:
+            return said.group(1).lower()
+        at = end + 1
+    return ""
 
 
 def gram_slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,12 +144,11 @@ def text_scores(texts: pa.Array, model: np.ndarray, most_grams: float) -> np.nda
 def _evidence(batches: Iterator[pa.RecordBatch], model, most_grams: float) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "html"):
         pages = [html or "" for html in part.column("html").to_pylist()]
-        found = [_DECLARED.search(html) for html in pages]
-        texts = pa.array([_MARKUP.sub(" ", html) for html in pages], pa.large_string())
+        texts = pa.array([plain_text(html) for html in pages], pa.large_string())
         scores = text_scores(texts, model.value, most_grams)
         yield pa.RecordBatch.from_arrays([
             part.column("page_id"), part.column("url"),
-            pa.array([m.group(1).lower() if m else "" for m in found], pa.string()),
+            pa.array([declared_language(html) for html in pages], pa.string()),
             pa.array(list(scores), pa.list_(pa.float64())),
         ], ["page_id", "url", "declared", "scores"])
 
@@ -131,8 +187,7 @@ def identify(pages: DataFrame, documents: DataFrame, most_grams: float = MOST_GR
     host = F.col("host")
     found = Stages(pages.sparkSession).keep(
         found.withColumn("host", host_of(F.col("url"))).withColumns({
-            "suffix": F.substring_index(host, ".", -1), "two": F.substring_index(host, ".", -2),
-            "three": F.substring_index(host, ".", -3), "answer": _shares(F.col("scores"))}))
+            "suffix": F.substring_index(host, ".", -1), "answer": _shares(F.col("scores"))}))
 
     def each(body) -> Column:
         return F.array(*[body(i) for i in range(n)])
@@ -147,8 +202,11 @@ def identify(pages: DataFrame, documents: DataFrame, most_grams: float = MOST_GR
         evidence = _sums(found, key, n).select(key, each(lambda i, own=own, key=key: F.log(
             (F.col(f"{key}_sums")[i] + smoothing * own / everything) / (total[i] + smoothing))).alias(f"{key}_log"))
         found = found.join(evidence, key)
-    for key in ("two", "three", "host"):
-        found = found.join(_sums(found, key, n), key)
+    # Added up once per host; wider domains are sums of their hosts, so no page is dealt out by a domain.
+    hosts = _sums(found, "host", n).withColumns({"two": F.substring_index(host, ".", -2), "three": F.substring_index(host, ".", -3)})
+    for key in ("two", "three"):
+        hosts = hosts.join(hosts.select(key, F.col("host_sums").alias("answer")).transform(_sums, key, n), key)
+    found = found.join(hosts.drop("two", "three"), "host")
     # Without the page's own answer at every level.
     found = found.withColumn("prior", each(lambda i: (F.lit(total[i]) - F.col("answer")[i] + 1.0) / (everything - 1.0 + n)))
     for key in ("two", "three", "host"):
