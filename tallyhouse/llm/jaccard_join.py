@@ -206,7 +206,7 @@ def link_pairs(found: _Profiled, size: int = SIZE, percent: int = PERCENT) -> Da
 
 
 def linked(documents: DataFrame, size: int = SIZE, percent: int = PERCENT, table_bits: int = TABLE_BITS) -> DataFrame:
-    """Per document: doc_id, dk, th, class, root, n_links (other rows that it links with, its copies included).
+    """Per document: doc_id, dk, th, n_shingles, class, root, component_id, n_links (other rows that it links with, its copies included).
 
     The pairs grow with the square of a group of near copies; ``near_duplicates`` gives the components without them.
     """
@@ -217,10 +217,14 @@ def linked(documents: DataFrame, size: int = SIZE, percent: int = PERCENT, table
         F.sum("copies").alias("others"))
     roots = components(pairs, found.stages).select(F.col("node").alias("class"), "root")
     per_class = found.classes.join(others, "class", "left").join(roots, "class", "left").select(
-        "class", F.coalesce("root", "class").alias("root"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    rows = found.profiles.select("doc_id", "dk", "th", F.when(F.col("n") > 0, F.col("class")).alias("class"))
+        "class", "dk", F.coalesce("root", "class").alias("root"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    smallest = per_class.groupBy("root").agg(F.min("dk").alias("component"))
+    per_class = per_class.drop("dk").join(smallest, "root")
+    rows = found.profiles.select("doc_id", "dk", "th", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"))
     return rows.join(per_class, "class", "left").select(
-        "doc_id", "dk", "th", "class", "root", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "doc_id", "dk", "th", "n_shingles", "class", "root",
+        F.nullif(F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("dk")), F.lit(LAST_ID)).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
@@ -280,7 +284,7 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_links(spark, sf_dir: str) -> DataFrame:
-    return linked(read(spark, sf_dir, "documents")).select("doc_id", "n_links")
+    return linked(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 OP3_SQL = r"""
@@ -302,18 +306,7 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
 from least left join sizes using (doc_id)
 """
 
-OP3_LINKS_SQL = r"""
-with cut as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
-), grams as (
-  select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as g
-  from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) as i from cut where len(w) > 0)
-), sizes as (select doc_id, count(*) as n from grams group by 1),
-shared as (
-  select a.doc_id as a, b.doc_id as b, count(*) as k from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
-), links as (
-  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)
-), ends as (select a as doc_id from links union all select b from links)
-select doc_id, count(ends.doc_id)::bigint as n_links from cut left join ends using (doc_id) group by 1
-"""
+OP3_LINKS_SQL = OP3_SQL.replace("select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id\n", """
+, ends as (select a as doc_id, count(*) as n_links from edges group by 1)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, coalesce(n_links, 0)::bigint as n_links
+""").replace("from least left join sizes using (doc_id)", "from least left join sizes using (doc_id) left join ends using (doc_id)")
