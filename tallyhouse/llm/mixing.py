@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import WORD, Stages, read, row_key, shuffle_partitions, word_count
+from tallyhouse.llm.common import Stages, read, row_key, shuffle_partitions, word_count
 
 BLOCK_WORDS = 32
 WEIGHTS = (3, 1, 2)
@@ -33,6 +33,8 @@ MOST = 2
 SHARD_SLOTS = 4096
 SEED = 17
 ROUNDS = 12
+SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+LEADING_SPACE = r"^[\x20\x09-\x0D]+"
 _RANGE = 4096
 _PRIME = 2**31 - 1
 
@@ -159,7 +161,9 @@ def mix(documents: DataFrame, source: str = "source", block_words: int = BLOCK_W
 def mixed_documents(documents: DataFrame, source: str = "source", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mix as documents, all their columns: one row per document and pass that takes of it.
 
-    A document taken whole keeps its text; else the words taken, in order, are joined by one space. ``n_chars`` follows.
+    A document taken whole keeps its text. Else the pass takes as many words as its blocks hold of the document, in one run from
+    where the first of these begins (or as late as the words last), so that no text has holes; white space between
+    its words stays. ``n_chars`` follows.
     """
     rest = [c for c in documents.columns if c not in ("doc_id", "text")]
     given = documents.withColumn("__rest", F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("__none")))
@@ -167,13 +171,14 @@ def mixed_documents(documents: DataFrame, source: str = "source", block_words: i
     sources = targets(placed, block_words)
     taken = pieces(placed, block_words, "doc_id", "__rest").join(slots(sources, seed=seed), ["sk", "block"])
     # The row itself is found again by its place, which is its own.
-    per_pass = taken.groupBy("sk", "dk", "th", "start", "pass").agg(
-        F.sum("words").alias("got"), F.array_sort(F.collect_list(F.struct("word", "words"))).alias("ranges"))
-    whole = placed.filter("size > 0").join(per_pass, ["sk", "dk", "th", "start"])
+    per_pass = taken.groupBy("sk", "dk", "th", "start", "pass").agg(F.sum("words").alias("got"), F.min("word").alias("word"))
+    whole = placed.filter("size > 0").join(per_pass, ["sk", "dk", "th", "start"]).withColumn(
+        "word", F.least("word", F.col("size") - F.col("got")))
     texts = row_key(documents).select("dk", "th", "text").dropDuplicates(["dk", "th"])
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    part = F.transform(F.array(words), lambda found: F.array_join(F.flatten(F.transform(
-        "ranges", lambda r: F.slice(found, r["word"].cast("int") + 1, r["words"].cast("int")))), " "))[0]
+    # Words with the white space before them, so that a run of them is a piece of the text.
+    words = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
+    run = F.array_join(F.slice(words, F.col("word").cast("int") + 1, F.col("got").cast("int")), "")
+    part = F.regexp_replace(run, LEADING_SPACE, "")
     out = whole.join(texts, ["dk", "th"]).withColumn("text", F.when(F.col("got") == F.col("size"), F.col("text")).otherwise(part))
     columns = {"doc_id": F.col("doc_id").cast(documents.schema["doc_id"].dataType), "text": F.col("text"),
                **{c: F.col("__rest").getField(c) for c in rest}}
