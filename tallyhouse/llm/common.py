@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.sinks.stages import shared_folder
+from tallyhouse.sinks.stages import owned_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
@@ -56,14 +55,25 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_GRAINS = 1_000_000_000
+
+
+def drawn(hash_: Column, total: int, wanted: int) -> Column:
+    """Whether a row is among about ``wanted`` of ``total``, by its hash: no task has to hold or send more than its share.
+
+    All rows where there are no more than wanted; else a tenth more than wanted is expected, for a limit to cut to size.
+    """
+    return F.lit(True) if total <= wanted else F.pmod(hash_, F.lit(_GRAINS)) < int(1.1 * wanted / total * _GRAINS)
+
+
 class Stages:
     """Tables of one run in the shared folder: they cut the plan and survive the loss of executors.
 
-    ``keep`` writes a frame and returns a scan of it. Each run has a folder of its own, to be removed with the folder's retention.
+    ``keep`` writes a frame and returns a scan of it. Each run has a folder of its own, which expires and is swept like all stages.
     """
 
     def __init__(self, spark: SparkSession):
-        self._spark, self._folder, self._made = spark, f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}", 0
+        self._spark, self._folder, self._made = spark, owned_folder(spark, "llm"), 0
 
     def keep(self, frame: DataFrame) -> DataFrame:
         self._made += 1

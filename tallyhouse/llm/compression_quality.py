@@ -8,7 +8,8 @@ remainder 2 under dictionaries of remainder 0 and the other way round; the dicti
 Documents are scored where they lie; nothing is shuffled.
 
 Bounds, all parameters: ``dictionary_rows`` labelled rows and ``dictionary_pieces`` pieces per label and part,
-``dictionary_bytes`` per dictionary, ``curve_rows`` rows per part for the curve. Rows and pieces are chosen by hash, so reruns agree.
+``dictionary_bytes`` per dictionary, ``curve_rows`` rows per label and part for the curve. Rows and pieces are drawn by hash, at a rate that their
+number gives, so reruns agree and no task sends more than its share to the driver.
 
 Defined results: a null or empty text is scored as text that compresses to nothing; a null doc_id is not held out
 and never learned from; repeated rows are scored alike; without labelled rows of both kinds the score is the share of
@@ -27,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import read
+from tallyhouse.llm.common import Stages, drawn, read
 
 PIECE = 2000
 DICTIONARY_BYTES = 256 << 10
@@ -44,12 +45,12 @@ def remainder(doc_id: Column) -> Column:
 
 
 def _labelled(documents: DataFrame, labels: DataFrame, part: int, rows: int) -> DataFrame:
-    """text and quality of at most ``rows`` labelled ids per label; the ids are few enough to send to every task."""
+    """text and quality of about ``rows`` labelled ids per label; the ids are few enough to send to every task."""
     ids = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")).filter(
         F.col("id").isNotNull() & F.col("quality").isin(0, 1) & (remainder(F.col("id")) == part)).distinct()
-    order = F.xxhash64("id")
-    chosen = ids.filter("quality = 0").orderBy(order, "id").limit(rows).unionByName(
-        ids.filter("quality = 1").orderBy(order, "id").limit(rows))
+    counts = {row["quality"]: row["n"] for row in ids.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    share = drawn(F.xxhash64("id"), counts.get(0, 0), rows)
+    chosen = ids.filter(F.when(F.col("quality") == 1, drawn(F.xxhash64("id"), counts.get(1, 0), rows)).otherwise(share))
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "id")
 
@@ -110,20 +111,23 @@ def fit_curve(points: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,
           dictionary_rows: int = DICTIONARY_ROWS, dictionary_pieces: int = DICTIONARY_PIECES, curve_rows: int = CURVE_ROWS):
     """(broadcast dictionaries of bad and good text, weights of the curve)."""
-    context, order = documents.sparkSession.sparkContext, F.xxhash64("piece")
+    context, order, stages = documents.sparkSession.sparkContext, F.xxhash64("piece"), Stages(documents.sparkSession)
     pieces: dict[int, list[list[str]]] = {}
     for part in PARTS:
-        samples = _labelled(documents, labels, part, dictionary_rows).filter("text != ''").select("quality", F.explode(F.transform(
+        samples = stages.keep(_labelled(documents, labels, part, dictionary_rows).filter("text != ''").select("quality", F.explode(F.transform(
             F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE)),
-            lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)))).alias("piece")).distinct()
-        pieces[part] = [[row.piece for row in samples.filter(F.col("quality") == label).orderBy(order, "piece").limit(
-            dictionary_pieces).collect()] for label in (0, 1)]
+            lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)))).alias("piece")).distinct())
+        pieces[part] = []
+        for label in (0, 1):
+            own = samples.filter(F.col("quality") == label)
+            few = own.filter(drawn(order, own.count(), dictionary_pieces))
+            pieces[part].append([row.piece for row in few.orderBy(order, "piece").limit(dictionary_pieces).collect()])
     points = []
     for part, other in zip(PARTS, reversed(PARTS), strict=True):
         theirs = context.broadcast(tuple(_dictionary(p, dictionary_bytes) for p in pieces[other]))
         found = _labelled(documents, labels, part, curve_rows).select("text", "quality").mapInArrow(
             partial(_features, dictionaries=theirs, keep=["quality"]), "quality int, difference double, size double")
-        points.append(found.orderBy(F.xxhash64("difference", "size"), "quality").limit(2 * curve_rows).toPandas())
+        points.append(found.toPandas())
     rows = pd.concat(points)
     weights = fit_curve(rows[["difference", "size"]].to_numpy(float), rows["quality"].to_numpy(float))
     dictionaries = context.broadcast(tuple(

@@ -25,7 +25,7 @@ from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
-from html import escape
+from html import escape, unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.boosted import BoostedTrees
-from tallyhouse.llm.common import read
+from tallyhouse.llm.common import drawn, read
 from tallyhouse.llm.words import slices
 
 TRAINING_PAGES = 300
@@ -136,6 +136,19 @@ def _silent_ends(events: list[tuple[str, str, list]]) -> dict[int, int]:
     return ends
 
 
+def _closed_part(html: str) -> tuple[str, str]:
+    """The page up to its last ``>``, and what follows, which can hold no whole tag and is text.
+
+    A comment that is never closed is text as well. The parser would look for these ends again from every place that opens one.
+    """
+    last = html.rfind(">") + 1
+    closed, rest = html[:last], html[last:]
+    unclosed = closed.find("<!--", closed.rfind("-->") + 1)
+    if unclosed >= 0:
+        closed = closed[:unclosed] + closed[unclosed:].replace("<!--", "&lt;!--")
+    return closed, rest
+
+
 class Tree(HTMLParser):
     """The block elements of a page in page order, the page itself first."""
 
@@ -143,12 +156,16 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks = [Block("body", set(), -1)]
         self.stack: list[tuple[str, int]] = [("", 0)]  # open elements, with the block that each belongs to
+        self.open = Counter()  # how many of each are in the stack
         self.inside_link = 0
         self.run: list[str] = []
         self.place = 0
         self.events: list[tuple[str, str, list]] = []  # (start, end or data; tag or text; attributes)
-        self.feed(html)
+        closed, rest = _closed_part(html)
+        self.feed(closed)
         self.close()
+        if rest:
+            self.events.append(("data", unescape(rest), []))
         self._build()
         self.flush()
 
@@ -206,9 +223,15 @@ class Tree(HTMLParser):
     def _close_to(self, depth: int) -> None:
         self.flush()
         while len(self.stack) > depth:
-            if self.stack.pop()[0] == "a":
+            tag = self.stack.pop()[0]
+            self.open[tag] -= 1
+            if tag == "a":
                 self.inside_link = max(0, self.inside_link - 1)
 
+    def _push(self, tag: str, block: int) -> None:
+        self.stack.append((tag, block))
+        self.open[tag] += 1
+
     def _start(self, tag: str, attrs: list) -> None:
         if tag in VOID:
             if tag in ("br", "hr", "img", "input"):
@@ -220,22 +243,23 @@ class Tree(HTMLParser):
             return
         self.blocks[self.stack[-1][1]].tags += 1
         self.inside_link += tag == "a"
-        self.stack.append((tag, self.stack[-1][1]))
+        self._push(tag, self.stack[-1][1])
 
     def _open_block(self, tag: str, attrs: list) -> None:
         self.flush()
-        names = [name for name, _ in self.stack]
         owners = CLOSES_ITSELF.get(tag, ())
-        for depth in range(len(names) - 1, 0, -1):
-            # A block ends the paragraph that is open; an item ends the item before it.
-            if names[depth] == "p" or tag == names[depth] and owners or tag in ("dt", "dd") and names[depth] in ("dt", "dd") \
-                    or tag in ("td", "th") and names[depth] in ("td", "th"):
-                self._close_to(depth)
-                break
-            if names[depth] in owners or names[depth] in BLOCKS and tag not in CLOSES_ITSELF:
-                break
+        ended = {"p", *(("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,) if owners else ())}
+        # A block ends the paragraph that is open; an item ends the item before it. Nothing is looked for that is not open.
+        if any(self.open[name] for name in ended):
+            for depth in range(len(self.stack) - 1, 0, -1):
+                name = self.stack[depth][0]
+                if name in ended:
+                    self._close_to(depth)
+                    break
+                if name in owners or name in BLOCKS and tag not in CLOSES_ITSELF:
+                    break
         if tag in ("html", "body"):
-            self.stack.append((tag, self.stack[-1][1]))
+            self._push(tag, self.stack[-1][1])
             return
         words = set()
         for name, value in attrs:
@@ -244,7 +268,7 @@ class Tree(HTMLParser):
         parent = self.stack[-1][1]
         self.blocks.append(Block(tag, {_KIND_OF[w] for w in words if w in _KIND_OF}, parent))
         self.blocks[parent].children.append(len(self.blocks) - 1)
-        self.stack.append((tag, len(self.blocks) - 1))
+        self._push(tag, len(self.blocks) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -252,16 +276,19 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def _end(self, tag: str) -> None:
-        names = [name for name, _ in self.stack]
-        for depth in range(len(names) - 1, 0, -1):
-            if names[depth] == tag:
+        if not self.open[tag]:
+            return
+        for depth in range(len(self.stack) - 1, 0, -1):
+            name = self.stack[depth][0]
+            if name == tag:
                 if tag in BLOCKS:
                     self._close_to(depth)
                 else:
                     self.inside_link -= tag == "a" and self.inside_link > 0
                     del self.stack[depth]
+                    self.open[tag] -= 1
                 return
-            if names[depth] in BLOCKS and tag not in BLOCKS:
+            if name in BLOCKS and tag not in BLOCKS:
                 return  # an inline end tag does not reach out of its block
 
     def _text(self, data: str) -> None:
@@ -412,9 +439,15 @@ def design(paragraphs: list[str], snippets: list[str], rng: random.Random) -> st
 
 
 def train(pages: DataFrame, training_pages: int = TRAINING_PAGES, designs: int = DESIGNS) -> BoostedTrees:
-    """Trees fitted on a bounded number of pages and designs of their text."""
-    chosen = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).filter(
-        F.length("html").between(1, LONGEST_TRAINED)).orderBy(F.xxhash64("url", "html")).limit(training_pages).collect()
+    """Trees fitted on a bounded number of pages and designs of their text.
+
+    Pages of more than ``LONGEST_TRAINED`` characters are extracted like all others but not learned from, so that what the
+    driver takes in is bounded. The pages are drawn by hash, at a rate that their number gives.
+    """
+    fit = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).filter(
+        F.length("html").between(1, LONGEST_TRAINED))
+    order = F.xxhash64("url", "html")
+    chosen = fit.filter(drawn(order, fit.count(), training_pages)).orderBy(order).limit(training_pages).collect()
     rows, labels, snippets, mains = [], [], [], []
     for row in chosen:
         blocks = Tree(row.html).blocks
