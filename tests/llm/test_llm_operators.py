@@ -32,7 +32,7 @@ def test_quality_rules(documents, rows):
 
 def test_a_depleted_document_is_rejected(documents):
     shared = "\n".join(f"shared line number {i} of the host with words" for i in range(20))
-    rows = [(i, f"{shared}\nown words of document {i} which are few", "h") for i in range(10)]
+    rows = [(i, f"{shared}\nown words of document {i} which are few", "h") for i in range(12)]
     assert not any(r.kept for r in quality_rules.judge(documents(rows)).collect())
     assert quality_rules.without_rejected(documents(rows)).count() == 0
 
@@ -229,3 +229,15 @@ def test_groups_that_hold_a_third_of_all_rows(documents):
     assert got == sorted(brute.components(pairs(rows)), key=repr)
     got = bag(substrings.factor_documents(documents(rows), texts=False), "doc_id", "n_words", "n_removed", "kept")
     assert got == sorted(brute.substrings(pairs(rows)), key=repr)
+
+
+def test_the_line_limit_does_not_grow_with_the_host(documents):
+    """A line of eleven documents goes, whether the host has eleven or five hundred; one of ten stays."""
+    def rows(others):
+        own = "\n".join(f"line {{i}} {k} that only this document has among all of them" for k in range(3))
+        shared = [(i, own.format(i=i) + "\nthe line of eleven documents\n" + ("the line of ten documents" if i < 10 else ""), "h") for i in range(11)]
+        return shared + [(100 + i, own.format(i=100 + i), "h") for i in range(others)]
+
+    for others in (0, 500):
+        found = {r.doc_id: r.n_removed for r in quality_rules.judge(documents(rows(others))).collect()}
+        assert {found[i] for i in range(11)} == {5} and all(found[i] == 0 for i in found if i >= 100)

@@ -140,7 +140,7 @@ def test_evidence_is_fused(small):
     assert found.columns == ["page_id", "url", "host", "declared", "text_language", "language", "confidence"]
     languages, model = language.train(documents)
     assert languages == ["en", "fr"]
-    texts = pa.array([language._MARKUP.sub(" ", h or "") for _, _, h in pages], pa.large_string())
+    texts = pa.array([OLD_MARKUP.sub(" ", h or "") for _, _, h in pages], pa.large_string())
     scores = language.text_scores(texts, model, language.MOST_GRAMS)
     answer = np.exp(scores - scores.max(axis=1, keepdims=True))
     answer /= answer.sum(axis=1, keepdims=True)
@@ -173,3 +173,36 @@ def test_language_of_the_given_pages(spark):
     found = language.op10_language_id(spark, "/root/testdata/sf0.001").collect()
     declared = duckdb.sql("select page_id, regexp_extract(html, 'lang=\"(\\w+)\"', 1) from '/root/testdata/sf0.001/pages.parquet'").fetchall()
     assert {r.page_id: r.language for r in found} == dict(declared)
+
+
+LONG = 2_000_000
+
+
+@pytest.mark.parametrize("unit", ["<script>", "<html ", "<div>", "<!--", "<", "&#", "<p>", "<a href=\"", "<b>", "<ul><li>", "<div></li>"])
+def test_long_and_broken_pages_take_time_in_proportion(unit):
+    import time
+
+    html = unit * (LONG // len(unit)) + "some words"
+    begun = time.perf_counter()
+    language.plain_text(html)
+    language.declared_language(html)
+    assert time.perf_counter() - begun < 20
+    begun = time.perf_counter()
+    blocks = html_extract.Tree(html[: LONG // 4]).blocks
+    html_extract.features(blocks)
+    assert time.perf_counter() - begun < 30
+
+
+OLD_MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
+
+
+def test_plain_text_of_pages():
+    pages = [r[0] for r in duckdb.sql("select html from '/root/testdata/sf0.001/pages.parquet'").fetchall()]
+    pages += ["", "a < b & c", "<p>x</p>", "<script>1<2</script>y", "<SCRIPT a=1>x</Script >y<style>z</style>", "<!-- a > b -->c<!---->d", "&amp;&#65;&x y;",
+              "<p", "a<b", "x<!-- never closed <b>bold</b>", "<style>never closed <i>x</i>", "<scripts>a</scripts>"]
+    for html in pages:
+        assert language.plain_text(html) == OLD_MARKUP.sub(" ", html)
+    said = {"<html lang=en>": "en", "<HTML class='x' LANG = \"de-AT\">": "de", "<html><p lang=fr>": "", "<htmlx lang=fr>": "", "<html xlang=fr>": "",
+            "<html><html lang='es'>": "es", "<html lang": "", "": ""}
+    for html, lang in said.items():
+        assert language.declared_language(html) == lang, html
