@@ -277,24 +277,28 @@ def _features(batches: Iterator[pa.RecordBatch], model, keep: str) -> Iterator[p
             [batch.column(keep), *[pa.array(np.ascontiguousarray(found[:, i])) for i in range(3)]], [keep, "meant", "misspelled", "quoted"])
 
 
-# The curve where no labelled row says otherwise: a misspelled term counts nearly as one, a quoted one hardly.
-_PRIOR = np.array([0.0, 2.0, 1.6, 0.2])
+# Where no labelled row says otherwise, a misspelled term counts nearly as the term and a quoted one hardly.
+_AS_MEANT = np.array([1.0, 0.8, 0.05])
+_PRIOR = np.array([0.0, 2.0, 0.0, 0.0])
+_PULL = np.diag([1e-2, 1.0, 1.0, 1.0])
 
 
 def fit_curve(points: np.ndarray, labels: np.ndarray, denser: float) -> np.ndarray:
-    """Weights of 1, meant, misspelled and quoted, drawn towards the prior; ``denser`` takes the sampling out again."""
+    """Weights of 1, meant, misspelled and quoted; ``denser`` takes the sampling out again.
+
+    Fitted are the weight of what is meant, on all three by their shares of it, and what misspelled and quoted terms depart from that.
+    """
     if len(set(labels.tolist())) < 2:
         share = min(max(float(labels.mean()), 1e-3), 1 - 1e-3) if len(labels) else 0.5
         return np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0])
-    x, weights = np.c_[np.ones(len(points)), points], _PRIOR.copy()
-    pull = np.diag([1e-2, 1.0, 1.0, 1.0])
+    x, weights = np.c_[np.ones(len(points)), points @ _AS_MEANT, points[:, 1:]], _PRIOR.copy()
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (p - labels) + pull @ (weights - _PRIOR)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull, slope)
+        slope = x.T @ (p - labels) + _PULL @ (weights - _PRIOR)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + _PULL, slope)
         weights = weights - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
-    weights[1:] = np.maximum(weights[1:], 0)
-    return weights - np.array([denser, 0, 0, 0])
+    of_kinds = np.maximum(weights[1] * _AS_MEANT + np.array([0.0, *weights[2:]]), 0)
+    return np.array([weights[0] - denser, *of_kinds])
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
