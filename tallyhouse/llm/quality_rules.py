@@ -1,7 +1,8 @@
 """Quality rules over lines that many documents of a host share; built-in functions only.
 
 Lines are compared in lower case with white space reduced to single spaces. Per host (``host`` column, null is a host of
-its own) a line is common when more than ``most_documents`` documents have it, however large the host; documents
+its own) a line is common when more than ``most_documents`` documents have it, however large the host, and on a smaller host
+already when more than ``min_documents`` documents and more than ``max_share`` of the host's have it; documents
 with the same text count once. Common lines are removed. A document is rejected when a base rule fails
 (fewer than 20 words, or more than 30 % of them in repeated 8-word windows) or when it is depleted: less than ``least_left``
 of its words are left.
@@ -23,6 +24,8 @@ from tallyhouse.llm.common import LAST_ID, WHITE, WORD, keyed, let, read, row_ke
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
+MIN_DOCUMENTS = 5
+MAX_SHARE = 0.1
 MOST_DOCUMENTS = 10
 LEAST_LEFT = 0.5
 
@@ -84,12 +87,18 @@ def base_statistics(text: Column) -> Column:
     ))
 
 
-def common_lines(documents: DataFrame, host: str = "source", most_documents: int = MOST_DOCUMENTS) -> DataFrame:
+def common_lines(documents: DataFrame, host: str = "source", most_documents: int = MOST_DOCUMENTS,
+                 min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
     """Hashes of the lines that too many distinct documents of a host have: host, line, documents."""
     rows = row_key(documents, host).select(F.col(f"`{host}`").alias("host"), "th", "text").filter("text is not null")
+    hosts = rows.select("host", "th").distinct().groupBy("host").agg(F.count("*").alias("of"))
     lines = rows.select("host", "th", F.explode(F.array_distinct(
         F.transform(lines_of(F.col("text")), line_hash))).alias("line"))
-    return lines.distinct().groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > most_documents)
+    counts = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("documents")).filter(
+        F.col("documents") > min(min_documents, most_documents))
+    of_host = (F.col("documents") > min_documents) & (F.col("documents") > F.lit(max_share) * F.col("of"))
+    return counts.join(hosts, counts["host"].eqNullSafe(hosts["host"])).filter(
+        (F.col("documents") > most_documents) | of_host).select(counts["host"], "line", "documents")
 
 
 def _doc_lines(documents: DataFrame, host: str) -> DataFrame:
@@ -160,8 +169,10 @@ repeats as (
   select doc_id, source, t, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) as line,
     len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as n
   from (select doc_id, source, t, unnest(ls) as l from cut)
-), common as (
-  select source, line from lines group by 1, 2 having count(distinct t) > 10
+), hosts as (select source, count(distinct text) as n from documents group by 1),
+common as (
+  select c.source, line from (select source, line, count(distinct t) as k from lines group by 1, 2) c
+  join hosts h on c.source is not distinct from h.source where k > 10 or (k > 5 and k > 0.1 * h.n)
 ), gone as (
   select doc_id, sum(n) as n from lines l join common c on l.source is not distinct from c.source and l.line = c.line group by 1
 ), base as (

@@ -37,6 +37,17 @@ def test_a_depleted_document_is_rejected(documents):
     assert quality_rules.without_rejected(documents(rows)).count() == 0
 
 
+def test_a_line_is_common_on_a_small_host_and_on_a_large_one(documents):
+    """Seven documents are more than a tenth of a small host; on a large one more than ten are too many at any share."""
+    def host(name, first, size, having):
+        first_line = [f"line that some of {name} have" if i < having else f"line of {name}{i}" for i in range(size)]
+        return [(first + i, f"{line}\n" + " ".join(f"{name}{i}w{k}" for k in range(30)), name) for i, line in enumerate(first_line)]
+
+    rows = host("small", 0, 20, 7) + host("wide", 100, 100, 7) + host("large", 300, 200, 11) + host("few", 600, 20, 5)
+    found = {r.doc_id: r.n_removed for r in quality_rules.judge(documents(rows)).collect()}
+    assert {d for d, n in found.items() if n} == {*range(7), *range(300, 311)}
+
+
 def test_sharding(documents, rows):
     found = sharding.assign_shards(documents(rows)).collect()
     assert len(found) == len(rows)
