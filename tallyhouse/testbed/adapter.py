@@ -372,11 +372,49 @@ ADAPTER = {
 _KEPT = frozenset(name for name, sql in ADAPTER.items()
                   if any("{" + big + "}" in sql for big in ("lineitem", "orders", "customer", "events")))
 
+# The ledger in one pass over the lines for Spark, with the rows of its SELECT: lines are dealt out by order once, each order's
+# totals are taken where its lines are, and every line says by ``kind`` which entries it makes. 0 is the charge, 1 a payment of
+# the line, and an order's first line makes its payments, 2 and 3. Nothing is summed up before it is dealt out: lines
+# hardly repeat, so that a hash table of them would only fill the memory.
+_LEDGER = f"""
+    with dealt as (
+        select /*+ REPARTITION(l_orderkey) */ l_orderkey, l_linenumber, l_partkey, l_shipdate, l_extendedprice from {{lineitem}}),
+    line as ({_LINE.replace("{lineitem}", "dealt")}),
+    placed as (
+        select *, row_number() over (partition by l_orderkey order by l_linenumber) = 1 as leads,
+               sum(case when credit = 1 then -amount else amount end) over (partition by l_orderkey) as owed_once,
+               max(shipped_at) over (partition by l_orderkey) as last_shipped
+        from line),
+    states as (
+        select o_orderkey, count_if(o_orderstatus = 'P') as part_paid, count_if(o_orderstatus = 'F') as paid
+        from (select /*+ REPARTITION(o_orderkey) */ o_orderkey, o_orderstatus from {{orders}}) group by o_orderkey),
+    entry as (
+        select *, cast(owed_once * cast(paid as decimal(9,0)) as decimal(19,4)) as owed,
+               last_shipped + (l_orderkey % 60) * interval '1' day as paid_at,
+               explode(concat(array(0), array_repeat(1, cast(coalesce(part_paid, 0) as int)),
+                              case when leads and paid > 0 and l_orderkey % 10 = 3 then array(2, 3) when leads and paid > 0 then array(2)
+                                   else array() end)) as kind
+        from placed left join states on l_orderkey = o_orderkey)
+    select l_orderkey * 32 + case kind when 0 then l_linenumber * 4 when 1 then l_linenumber * 4 + case when l_linenumber % 3 = 0 then -1 else 1 end
+               when 2 then case when l_orderkey % 11 = 0 then 1 else 30 end else 31 end as TxTransactionID,
+           case when kind >= 2 and l_orderkey % 43 = 0 then null else l_orderkey end as TxInvoiceId,
+           case when kind < 2 then l_linenumber when l_orderkey % 37 = 0 then null else 1 end as GroupId,
+           case when kind = 0 then item_id else l_orderkey * 2 + 1 end as ItemId, if(kind = 0, 1, 4) as TxTypeID,
+           case kind when 0 then amount
+               when 1 then cast(case when credit = 1 then -amount else amount end - case when (l_orderkey + l_linenumber) % 3 = 0 then 10 else 0 end as decimal(19,4))
+               else cast(owed - case when l_orderkey % 4 = 0 then 25 else 0 end as decimal(19,4)) end as Amount,
+           if(kind = 0, credit, 1) as IsAccountingCredit,
+           case kind when 0 then case when (l_orderkey + l_linenumber) % 211 = 0 then null else shipped_at end
+               when 1 then shipped_at + (l_orderkey % 90) * interval '1' day else paid_at end as TargetDate,
+           if(kind = 0, 'Charge', 'Payment') as Description, l_orderkey * 2 as WorkUnitId
+    from entry
+"""
+
 _QUOTED = re.compile(r"\[([^\]]+)\]")
 
 
 def spark_select(name: str) -> str:
-    return _QUOTED.sub(r"`\1`", ADAPTER[name]).replace("{ts}", "timestamp_ntz ")
+    return _QUOTED.sub(r"`\1`", {**ADAPTER, "TxTransaction": _LEDGER}[name]).replace("{ts}", "timestamp_ntz ")
 
 
 def duckdb_select(name: str) -> str:
