@@ -1,8 +1,9 @@
 """Receivables as of many dates in one pass over the ledger.
 
 Each transaction is an event in the first date's period that it counts in. Events are added up per line and period once; running
-sums tell from which date to which an invoice is open and how much is due on a line. Only open stretches are spread
-out over their dates, so what is settled costs nothing more, and the number of dates does not add scans.
+sums tell from which date to which an invoice is open and how much is due on a line. Lines go through the report once per
+stretch of dates with the same amount, and are spread out over the dates at its end, so that the number of dates adds neither scans
+nor rows to be shuffled or written; what is settled costs nothing more.
 """
 
 from __future__ import annotations
@@ -57,10 +58,11 @@ def stretches(events: DataFrame, keys: Sequence[str], amount: str, dates: int) -
     ).filter(f"{amount} != 0")
 
 
-def _spread(frame: DataFrame, dates: Sequence[datetime]) -> DataFrame:
-    """A row per date of a stretch, with ``as_of``."""
-    moments = F.array(*[moment(date) for date in dates])
-    return frame.withColumn("k", F.explode(F.sequence("from_k", "to_k"))).withColumn("as_of", moments[col("k")]).drop("from_k", "to_k", "k")
+def overlaps(due: DataFrame, open_at: DataFrame) -> DataFrame:
+    """Amounts due over the parts of their stretches at which their invoice is open."""
+    open_part = open_at.selectExpr("invoice_id", "from_k as open_from", "to_k as open_to")
+    return due.join(open_part, "invoice_id").withColumns({
+        "from_k": F.greatest("from_k", "open_from"), "to_k": F.least("to_k", "open_to")}).filter("from_k <= to_k").drop("open_from", "open_to")
 
 
 def ar_aging_history(
@@ -85,11 +87,10 @@ def ar_aging_history(
         F.expr("if(line_no is null, null, min_by(first_item, first_tx)) as first_item"), F.max("last_tx").alias("last_payment_tx"),
         F.expr("max_by(last_item, last_tx) as last_payment_id"))
     items = stages.keep(items, "line_items")
-    due = _spread(stretches(of_open, LINE, "due", len(dates)), dates).join(
-        _spread(open_at.select("invoice_id", "from_k", "to_k"), dates), ["invoice_id", "as_of"])
+    due = overlaps(stretches(of_open, LINE, "due", len(dates)), open_at)
     same_line = [col("invoice_id") == col("item_invoice"), col("line_no").eqNullSafe(col("item_line"))]
     ledger = due.join(items.selectExpr("invoice_id as item_invoice", "line_no as item_line", "first_item"), same_line).drop("item_invoice", "item_line")
     lines = stages.keep(open_lines(tables, invoices, ledger, None), "lines")
     agreements = stages.keep(agreement_info(tables, lines, stages), "agreements")
     by_item = lines_by_item(tables, lines, agreements)
-    return final_rows(tables, by_item, member_detail(tables, lines, agreements, now), items, as_of=None, now=now)
+    return final_rows(tables, by_item, member_detail(tables, lines, agreements, now), items, as_of=None, now=now, dates=dates)
