@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions import moment
 from tallyhouse.operators import credit_negative, credit_positive, restrict_to_keys
-from tallyhouse.plans.ar_aging import LINE, agreement_info, final_rows, invoice_headers, lines_by_item, member_detail, open_lines
+from tallyhouse.plans.ar_aging import (
+    LINE, agreement_info, amounts_due, final_rows, invoice_headers, invoice_shares, member_detail, open_details,
+)
 from tallyhouse.sinks.stages import StageArea
 
 col = F.col
@@ -90,7 +92,9 @@ def ar_aging_history(
     due = overlaps(stretches(of_open, LINE, "due", len(dates)), open_at)
     same_line = [col("invoice_id") == col("item_invoice"), col("line_no").eqNullSafe(col("item_line"))]
     ledger = due.join(items.selectExpr("invoice_id as item_invoice", "line_no as item_line", "first_item"), same_line).drop("item_invoice", "item_line")
-    lines = stages.keep(open_lines(tables, invoices, ledger, None), "lines")
-    agreements = stages.keep(agreement_info(tables, lines, stages), "agreements")
-    by_item = lines_by_item(tables, lines, agreements)
-    return final_rows(tables, by_item, member_detail(tables, lines, agreements, now), items, as_of=None, now=now, dates=dates)
+    amounts = stages.keep(amounts_due(ledger), "amounts")
+    details = stages.keep(open_details(tables, invoices, amounts), "details")
+    agreements = stages.keep(agreement_info(tables, details, stages), "agreements")
+    shares = invoice_shares(tables, details, agreements, amounts)
+    members = member_detail(tables, details, agreements, now)
+    return final_rows(tables, amounts, shares, members, items, as_of=None, now=now, dates=dates)
