@@ -61,10 +61,12 @@ def stretches(events: DataFrame, keys: Sequence[str], amount: str, dates: int) -
 
 
 def overlaps(due: DataFrame, open_at: DataFrame) -> DataFrame:
-    """Amounts due over the parts of their stretches at which their invoice is open."""
-    open_part = open_at.selectExpr("invoice_id", "from_k as open_from", "to_k as open_to")
+    """Amounts due over the parts of their stretches at which their invoice is open; an invoice with several headers counts as often."""
+    open_part = open_at.groupBy("invoice_id", col("from_k").alias("open_from"), col("to_k").alias("open_to")).agg(
+        F.count("*").cast("decimal(9,0)").alias("headers"))
     return due.join(open_part, "invoice_id").withColumns({
-        "from_k": F.greatest("from_k", "open_from"), "to_k": F.least("to_k", "open_to")}).filter("from_k <= to_k").drop("open_from", "open_to")
+        "from_k": F.greatest("from_k", "open_from"), "to_k": F.least("to_k", "open_to"), "due": (col("due") * col("headers")).cast(_MONEY),
+    }).filter("from_k <= to_k").drop("open_from", "open_to", "headers")
 
 
 def ar_aging_history(

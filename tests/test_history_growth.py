@@ -30,6 +30,12 @@ def test_an_amount_that_stays_is_one_row_for_all_its_dates(spark):
     assert sorted((r.invoice_id, r.line_no, r.from_k, r.to_k, int(r.due)) for r in found.collect()) == [(1, 1, 0, 2, 5), (1, 2, 1, 4, 7)]
 
 
+def test_a_repeated_header_repeats_the_amount_and_not_the_row(spark):
+    due = spark.sql("select * from values (1, 1, 0, 5, 5), (1, 2, 0, 0, 7) as t(invoice_id, line_no, from_k, to_k, due)")
+    twice = spark.sql("select * from values (1, 'a', 0, 3), (1, 'b', 0, 3) as t(invoice_id, account_id, from_k, to_k)")
+    assert sorted((r.line_no, r.from_k, r.to_k, int(r.due)) for r in overlaps(due, twice).collect()) == [(1, 0, 3, 10), (2, 0, 0, 14)]
+
+
 def test_more_dates_keep_no_more_rows(spark, sf_dir):
     """After the ledger's last transaction nothing changes: dates there add rows to the report and none to its stages."""
     tables, kept, shown = billing_tables(spark, sf_dir), [], []
