@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from test_plans import plan
 
+import __spark_entry__ as entry
 from tallyhouse.plans.unmatched import open_balances, unmatched_payments, unmatched_totals
 from tallyhouse.sinks.files import Files
 from tallyhouse.sinks.stages import FILE_CLEANUP, StageArea, tidy_writes
@@ -62,3 +63,8 @@ def test_balances_deal_the_ledger_out_once(spark, sf_dir, no_broadcasts):
     tables = billing_tables(spark, sf_dir)
     text = plan(open_balances(tables, tables["TxInvoice"].select("TxInvoiceID"), AS_OF)).split("\n\n")[0]
     assert len(re.findall("Scan parquet", text)) == 2 and len(re.findall(r"[+:]- Exchange", text)) == 2
+
+
+def test_the_sql_function_reads_the_amounts_of_the_ledger_once(spark, sf_dir, no_broadcasts):
+    text = plan(entry.queries()["sql_unmatched_totals"](spark, sf_dir))
+    assert len([m for m in re.findall(r"ReadSchema: (struct<.*>)", text) if "IsAccountingCredit" in m]) == 1
