@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.sinks.stages import CODEC, tidy_writes
 from tallyhouse.sources.schemas import canonical
 
 # Key by which the reports join and sum each large table.
@@ -32,7 +33,8 @@ def write_bucketed(tables: Mapping[str, DataFrame], database: str, buckets: int,
     for name, key in (keys or BUCKET_KEYS).items():
         table = canonical(name)
         dealt = tables[table].repartition(buckets, F.col(key))
-        dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{table}")
+        with tidy_writes(dealt.sparkSession):
+            dealt.write.mode("overwrite").option("compression", CODEC).bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{table}")
 
 
 def sorted_files(frame: DataFrame, order: Sequence[str | Column]) -> DataFrame:

@@ -7,12 +7,14 @@ import pytest
 from test_plans import plan
 
 import __spark_entry__ as entry
+from tallyhouse.plans.ar_aging import ar_aging
 from tallyhouse.plans.unmatched import open_balances, unmatched_payments, unmatched_totals
 from tallyhouse.sinks.files import Files
 from tallyhouse.sinks.stages import FILE_CLEANUP, StageArea, tidy_writes
+from tallyhouse.testbed import report_queries
 from tallyhouse.testbed.adapter import billing_tables
 
-SINCE, AS_OF = datetime(1998, 1, 1), datetime(2000, 1, 1)
+SINCE, AS_OF, NOW = datetime(1998, 1, 1), datetime(2000, 1, 1), datetime(2001, 8, 2, 6)
 
 
 @pytest.fixture
@@ -27,6 +29,10 @@ def shuffles(spark):
     return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
 
 
+def left(spark, stages):
+    return {name for name in Files(spark).names(stages.folder) if name[0] != "_"}
+
+
 def test_a_stage_leaves_no_shuffle_files(spark):
     before, setting = shuffles(spark), spark.conf.get(FILE_CLEANUP)
     with StageArea(spark) as stages:
@@ -56,7 +62,7 @@ def test_totals_keep_nothing_of_the_ledger(spark, sf_dir):
     with StageArea(spark) as stages:
         since = unmatched_payments(tables, since=SINCE, ordered=False)
         assert unmatched_totals(tables, since, as_of=AS_OF, stages=stages).count() > 0
-        assert {name for name in Files(spark).names(stages.folder) if name[0] != "_"} == {"problem_amounts", "owed", "crowded_members"}
+        assert left(spark, stages) == {"problem_amounts", "owed", "crowded_members"}
 
 
 def test_balances_deal_the_ledger_out_once(spark, sf_dir, no_broadcasts):
@@ -68,3 +74,11 @@ def test_balances_deal_the_ledger_out_once(spark, sf_dir, no_broadcasts):
 def test_the_sql_function_reads_the_amounts_of_the_ledger_once(spark, sf_dir, no_broadcasts):
     text = plan(entry.queries()["sql_unmatched_totals"](spark, sf_dir))
     assert len([m for m in re.findall(r"ReadSchema: (struct<.*>)", text) if "IsAccountingCredit" in m]) == 1
+
+
+def test_bucketed_tables_and_the_report_keep_what_is_still_read(spark, sf_dir):
+    tables = report_queries.bucketed_tables(billing_tables(spark, sf_dir), buckets=2)
+    assert all(".zstd" in file for file in tables["TxTransaction"].inputFiles())
+    with StageArea(spark) as stages:
+        assert ar_aging(tables, now=NOW, as_of=AS_OF, stages=stages).count() > 0
+        assert left(spark, stages) == {"ledger", "owed"}
