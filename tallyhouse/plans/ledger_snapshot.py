@@ -22,7 +22,7 @@ from tallyhouse.functions import moment
 from tallyhouse.operators import credit_negative, credit_positive, restrict_to_keys
 from tallyhouse.sinks.files import Files
 from tallyhouse.sinks.generations import Generation, Generations
-from tallyhouse.sinks.stages import StageArea
+from tallyhouse.sinks.stages import CODEC, StageArea, tidy_writes
 from tallyhouse.sources.schemas import declared
 
 col = F.col
@@ -44,7 +44,8 @@ class DayLedger:
         self._spark, self.root = spark, root.rstrip("/")
 
     def write_day(self, day: date, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{POSTED}={day.isoformat()}")
+        with tidy_writes(self._spark):
+            rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/{POSTED}={day.isoformat()}")
 
     def days(self) -> list[date]:
         names = Files(self._spark).names(self.root)
@@ -59,7 +60,8 @@ class DayLedger:
 def line_facts(ledger: DataFrame, cut: datetime) -> DataFrame:
     """Per line, and per moment from the cut on: balance, amount due, first item and last payment. ``at`` is null before the cut."""
     payment = f"TxTypeID = {fixed.TX_TYPE_PAYMENT}"
-    return ledger.filter("TxInvoiceId is not null").groupBy(
+    # Dealt out by invoice: a line has few transactions, and what reads the facts sums them up or finds them by invoice.
+    return ledger.filter("TxInvoiceId is not null").repartition("TxInvoiceId").groupBy(
         col("TxInvoiceId").alias("invoice_id"), col("GroupId").alias("line_no"),
         F.when(col("TargetDate") >= moment(cut), col("TargetDate")).alias("at"), col("TargetDate").isNotNull().alias("dated"),
     ).agg(
@@ -145,9 +147,13 @@ class LedgerSnapshot:
                 col("invoice_id").alias("open_id"))
             marked = facts.join(open_ids, col("invoice_id") == col("open_id"), "left").withColumn(
                 "is_open", col("open_id").isNotNull()).drop("open_id")
+            # Finding the ranges runs what comes before them once more: a stage, so that the join's shuffle is gone by then.
+            marked = stages.keep(marked, "marked")
+            stages.drop("facts")
             folder = self._log.attempt()
             order = ["is_open", "invoice_id", "line_no"]
-            marked.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("is_open").parquet(folder)
+            with tidy_writes(self._spark):
+                marked.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("is_open").option("compression", CODEC).parquet(folder)
         published = self._log.commit(base, folder, {"through": through.isoformat(), "cut": cut.isoformat()})
         if published is None:
             self._log.discard(folder)

@@ -1,13 +1,14 @@
 """What the reports leave on disk: no shuffle files of stages, no stage that nothing reads any more, one exchange of the ledger."""
 
 import re
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from test_plans import plan
 
 import __spark_entry__ as entry
 from tallyhouse.plans.ar_aging import ar_aging
+from tallyhouse.plans.ledger_snapshot import DayLedger, LedgerSnapshot
 from tallyhouse.plans.unmatched import open_balances, unmatched_payments, unmatched_totals
 from tallyhouse.sinks.files import Files
 from tallyhouse.sinks.stages import FILE_CLEANUP, StageArea, tidy_writes
@@ -82,3 +83,15 @@ def test_bucketed_tables_and_the_report_keep_what_is_still_read(spark, sf_dir):
     with StageArea(spark) as stages:
         assert ar_aging(tables, now=NOW, as_of=AS_OF, stages=stages).count() > 0
         assert left(spark, stages) == {"ledger", "owed"}
+
+
+def test_a_report_from_a_snapshot_keeps_no_facts(spark, sf_dir, tmp_path):
+    tables = billing_tables(spark, sf_dir)
+    days, snapshot = DayLedger(spark, str(tmp_path / "days")), LedgerSnapshot(spark, str(tmp_path / "snapshot"))
+    days.write_day(date(2000, 6, 1), tables["TxTransaction"])
+    snapshot.advance(days.rows(), through=date(2000, 6, 1), cut=AS_OF)
+    with StageArea(spark) as stages:
+        view = snapshot.view(days.rows(), stages)
+        assert all(".zstd" in file for file in [*days.rows().inputFiles(), *view.facts.inputFiles()])
+        assert ar_aging(tables, now=NOW, as_of=AS_OF, stages=stages, snapshot=view).count() > 0
+        assert left(spark, stages) == {"ledger", "owed"}
