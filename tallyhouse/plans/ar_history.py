@@ -21,6 +21,7 @@ from tallyhouse.plans.ar_aging import (
     LINE, agreement_info, amounts_due, final_rows, invoice_headers, invoice_shares, member_detail, open_details,
 )
 from tallyhouse.sinks.stages import StageArea
+from tallyhouse.sources.tables import bucketed_by
 
 col = F.col
 _MONEY = "decimal(29,4)"
@@ -37,7 +38,9 @@ def balance_events(tables: Mapping[str, DataFrame], dates: Sequence[datetime]) -
     for date in dates:
         passed = passed + F.when(col("TargetDate") >= moment(date), 1).otherwise(0)
     period = F.when(col("TargetDate").isNull(), len(dates)).otherwise(passed)
-    return tables["TxTransaction"].filter("TxInvoiceId is not null").groupBy(
+    ledger = tables["TxTransaction"].filter("TxInvoiceId is not null")
+    # By invoice, as everything that reads the events wants them: an invoice's periods then combine in the task that reads them.
+    return (ledger if bucketed_by(tables, "TxTransaction", "TxInvoiceId") else ledger.repartition("TxInvoiceId")).groupBy(
         col("TxInvoiceId").alias("invoice_id"), col("GroupId").alias("line_no"), period.alias("k")
     ).agg(
         F.sum(credit_positive(col("IsAccountingCredit"), col("Amount"))).alias("balance"),
@@ -95,8 +98,12 @@ def ar_aging_history(
     same_line = [col("invoice_id") == col("item_invoice"), col("line_no").eqNullSafe(col("item_line"))]
     ledger = due.join(items.selectExpr("invoice_id as item_invoice", "line_no as item_line", "first_item"), same_line).drop("item_invoice", "item_line")
     amounts = stages.keep(amounts_due(ledger), "amounts")
+    stages.drop("balance_events")
     details = stages.keep(open_details(tables, invoices, amounts), "details")
     agreements = stages.keep(agreement_info(tables, details, stages), "agreements")
-    shares = invoice_shares(tables, details, agreements, amounts)
+    stages.drop("open_stretches", "member_agreements")
+    shares = stages.keep(invoice_shares(tables, details, agreements, amounts), "shares")
     members = member_detail(tables, details, agreements, now)
-    return final_rows(tables, amounts, shares, members, items, as_of=None, now=now, dates=dates)
+    report = final_rows(tables, amounts, shares, members, items, as_of=None, now=now, dates=dates, stages=stages)
+    stages.drop("details", "agreements", "line_items", "shares")
+    return report

@@ -8,6 +8,7 @@ from test_plans import plan
 
 import __spark_entry__ as entry
 from tallyhouse.plans.ar_aging import ar_aging
+from tallyhouse.plans.ar_history import ar_aging_history
 from tallyhouse.plans.ledger_snapshot import DayLedger, LedgerSnapshot
 from tallyhouse.plans.unmatched import open_balances, unmatched_payments, unmatched_totals
 from tallyhouse.sinks.files import Files
@@ -95,3 +96,9 @@ def test_a_report_from_a_snapshot_keeps_no_facts(spark, sf_dir, tmp_path):
         assert all(".zstd" in file for file in [*days.rows().inputFiles(), *view.facts.inputFiles()])
         assert ar_aging(tables, now=NOW, as_of=AS_OF, stages=stages, snapshot=view).count() > 0
         assert left(spark, stages) == {"ledger", "owed"}
+
+
+def test_many_dates_keep_amounts_and_owners_only(spark, sf_dir):
+    with StageArea(spark) as stages:
+        found = ar_aging_history(billing_tables(spark, sf_dir), dates=[AS_OF, NOW], now=NOW, stages=stages)
+        assert found.count() > 0 and left(spark, stages) == {"amounts", "owed"}
